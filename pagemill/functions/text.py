@@ -19,9 +19,9 @@ TRIM_ANY = char_class(LINE_TRIM + "\n")
 _LINE_ENDS = rf"(?<!{TRIM}){TRIM}++(?=\n|\z)|(?:(?<=\n)|\A){TRIM}++"
 
 
-def drop_marks(text: Column) -> Column:
+def drop_marks(text: Column, keep: str = "") -> Column:
     """Remove the noncharacters the plans use as internal marks."""
-    return F.translate(text, MARKS, "")
+    return F.translate(text, "".join(m for m in MARKS if m not in keep), "")
 
 
 def collapse_whitespace(text: Column) -> Column:

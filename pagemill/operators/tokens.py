@@ -11,8 +11,9 @@ def _split(token: Column, raw: bool) -> Column:
     return F.struct(token.alias("token"), F.lit(raw).alias("raw"))
 
 
-def token_pieces(html: Column) -> Column:
+def token_pieces(html: Column, tokens: Column = None) -> Column:
     """array<struct<token,raw>>; a raw-text element gives its open tag, content and end tag."""
+    tokens = H.token_array(html) if tokens is None else tokens
 
     def expand(token):
         raw = F.filter(
@@ -25,7 +26,7 @@ def token_pieces(html: Column) -> Column:
         )
         return F.when(H.is_raw_element(token), raw).otherwise(F.array(_split(token, False)))
 
-    return F.flatten(F.transform(H.token_array(html), expand))
+    return F.flatten(F.transform(tokens, expand))
 
 
 def explode_pieces(pages: DataFrame, keys: list[str], html: str, pieces: Column = None) -> DataFrame:
@@ -86,11 +87,8 @@ def attr_lookup(pages: DataFrame, tag: str, attr: str, keys=("page_id",), html="
     token = F.col("token")
     tags = explode_pieces(pages, list(keys), html).where(
         ~F.col("raw") & token.rlike(rf"(?i)\A<{tag}(?:[ \t\n\r/>]|\z)"))
-    attrs = H.tag_attributes(token)
-    return tags.select(
-        *keys, "pos",
-        H.get_attr(attrs, attr).alias("value"),
-        H.get_attr_decoded(attrs, attr).alias("decoded"))
+    values = tags.select(*keys, "pos", H.get_attr(H.tag_attributes(token), attr).alias("value"))
+    return values.withColumn("decoded", decode_entities(F.col("value")))
 
 
 def md_events(pages: DataFrame, keys=("page_id",), html="html") -> DataFrame:
