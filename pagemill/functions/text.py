@@ -2,26 +2,42 @@
 
 from pyspark.sql import Column, functions as F
 
-from pagemill.fixed import HTML_WHITESPACE, LINE_TRIM, MARKS
+from pagemill.fixed import HTML_WHITESPACE, LINE_TRIM
 
 
-def char_class(chars):
-    return "[" + chars.replace("\t", "\\t").replace("\n", "\\n").replace("\r", "\\r") + "]"
+def char_class(chars: str) -> str:
+    """A regex class that rejects most characters after one bit test and one range test."""
+    low = "".join(f"\\x{ord(c):02x}" for c in chars if ord(c) < 256)
+    high = "".join(c for c in chars if ord(c) >= 256)
+    return f"[{low}[{min(high)}-{max(high)}&&[{high}]]]" if high else f"[{low}]"
 
 
 WS = char_class(HTML_WHITESPACE)
 WS_INLINE = char_class(HTML_WHITESPACE.replace("\n", ""))
-NOT_WS = "[^" + char_class(HTML_WHITESPACE)[1:]
 TRIM = char_class(LINE_TRIM)
 TRIM_ANY = char_class(LINE_TRIM + "\n")
+NOT_TRIM_ANY = f"[^{TRIM_ANY[1:]}"
 
-# A run is entered at its first character only, so every pass is linear in the text.
-_LINE_ENDS = rf"(?<!{TRIM}){TRIM}++(?=\n|\z)|(?:(?<=\n)|\A){TRIM}++"
+
+def run_of(chars: str) -> str:
+    """A whole run: entered at its first character only, so a pass stays linear in the text."""
+    return f"{chars}(?<!{chars}{chars}){chars}*+"
+
+
+_LINE_ENDS = (
+    rf"{TRIM}(?<!{TRIM}{TRIM})"
+    rf"(?:{TRIM}*+(?=\n|\z)|(?:(?<=\n{TRIM})|(?<=\A{TRIM})){TRIM}*+)")
+
+
+def let(value: Column, body) -> Column:
+    """body(value) with `value` computed once, however often the body reads it."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
 def drop_marks(text: Column, keep: str = "") -> Column:
     """Remove the noncharacters the plans use as internal marks."""
-    return F.translate(text, "".join(m for m in MARKS if m not in keep), "")
+    kept = f"&&[^{keep}]" if keep else ""
+    return F.regexp_replace(text, f"[\ufdd0-\ufdef{kept}]", "")
 
 
 def collapse_whitespace(text: Column) -> Column:
@@ -36,8 +52,8 @@ def collapse_inline(text: Column) -> Column:
 
 def fold_blank_lines(text: Column) -> Column:
     """Runs of empty lines become one empty line; none is left at the ends."""
-    return F.regexp_replace(
-        F.regexp_replace(text, r"\n{3,}", "\n\n"), r"\A\n+|(?<!\n)\n+\z", "")
+    return let(F.btrim(text, F.lit("\n")), lambda t: F.when(
+        F.contains(t, F.lit("\n\n\n")), F.regexp_replace(t, r"\n{3,}", "\n\n")).otherwise(t))
 
 
 def collapse_lines(text: Column) -> Column:
@@ -52,4 +68,4 @@ def whitespace_count(text: Column) -> Column:
 
 def trim_any(text: Column) -> Column:
     """Trim whitespace, line ends included, from both ends."""
-    return F.regexp_replace(text, rf"\A{TRIM_ANY}++|(?<!{TRIM_ANY}){TRIM_ANY}++\z", "")
+    return F.regexp_replace(text, rf"\A{TRIM_ANY}++|{run_of(TRIM_ANY)}\z", "")

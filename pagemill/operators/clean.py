@@ -8,9 +8,10 @@ from pagemill.fixed import STRIP_MODES, TAG_MARK
 from pagemill.functions import html as H
 from pagemill.functions.entities import decode_entities, entity_pieces, entity_table
 from pagemill.functions.text import (
-    NOT_WS, collapse_lines, collapse_whitespace, drop_marks, whitespace_count)
+    WS, collapse_lines, collapse_whitespace, drop_marks, whitespace_count)
 
-_SPACE_AT_TAGS = f"(?<={NOT_WS[:-1]}{TAG_MARK}]){TAG_MARK}+(?=[^{TAG_MARK}])"
+# A run of tag marks between a visible character and more text.
+_SPACE_AT_TAGS = rf"{TAG_MARK}(?<!\A{TAG_MARK})(?<!{WS}{TAG_MARK})(?<!{TAG_MARK}{TAG_MARK}){TAG_MARK}*+(?!\z)"
 
 
 def resolve_strip(requested: Column, content_type: Column) -> Column:
@@ -66,7 +67,7 @@ def strip_tags(html: Column) -> Column:
 
     joined = F.array_join(F.transform(H.token_array(drop_marks(html)), render), "")
     spaced = F.regexp_replace(joined, _SPACE_AT_TAGS, " ")
-    return collapse_lines(F.translate(spaced, TAG_MARK, ""))
+    return collapse_lines(F.replace(spaced, F.lit(TAG_MARK), F.lit("")))
 
 
 ROW_LOCAL = {

@@ -13,11 +13,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pagemill import fixed
 from pagemill.fixed import (
-    CAPTION_CLOSE, CAPTION_OPEN, CELL_MARK, FENCE_CLOSE, FENCE_OPEN, HIT_MARK, LI_MARK, ROW_MARK)
+    LINE_TRIM, CAPTION_CLOSE, CAPTION_OPEN, CELL_MARK, FENCE_CLOSE, FENCE_OPEN, HIT_MARK, LI_MARK, ROW_MARK)
 from pagemill.functions import html as H
 from pagemill.functions.entities import decode_entities
 from pagemill.functions.text import (
-    TRIM_ANY, collapse_inline, collapse_whitespace, drop_marks, fold_blank_lines)
+    NOT_TRIM_ANY, TRIM_ANY, char_class, collapse_inline, collapse_whitespace, drop_marks,
+    fold_blank_lines, run_of)
 from pagemill.operators.tokens import token_pieces
 
 _RESET = 1 << 40  # larger than any depth: subtracting it restarts a clamped running sum
@@ -122,7 +123,7 @@ def _context(events: DataFrame, page: list[str]) -> DataFrame:
     ev = F.col("ev")
     is_text = F.col("text").isNotNull()
     flushing = ev.isin(_FLUSHING) | (ev == _END)
-    blank = is_text & ~F.coalesce(F.col("text"), F.lit("")).rlike("[^" + TRIM_ANY[1:])
+    blank = is_text & ~F.coalesce(F.col("text"), F.lit("")).rlike(NOT_TRIM_ANY)
     list_step = F.when(ev.isin("ul", "ol"), 1).when(ev.isin("/ul", "/ol"), -1).otherwise(0)
     clears_lists = ev.isin(fixed.HEADINGS + ["hr", "pre"])
 
@@ -354,11 +355,11 @@ def _normalise(df: DataFrame, column: str) -> DataFrame:
     One step per projection: each reads the column before it several times.
     """
     text = F.col(column)
-    any_li = TRIM_ANY[:-1] + LI_MARK + "]"
+    item_end = char_class(LINE_TRIM + "\n" + LI_MARK)
     captioned = F.regexp_replace(F.regexp_replace(F.regexp_replace(
         text, f"{CAPTION_OPEN}{TRIM_ANY}*+{CAPTION_CLOSE}", ""),
         f"{CAPTION_OPEN}{TRIM_ANY}*+", "\n*"),
-        f"(?<!{TRIM_ANY}){TRIM_ANY}*+{CAPTION_CLOSE}", "*")
+        f"(?:{run_of(TRIM_ANY)})?{CAPTION_CLOSE}", "*")
     celled = F.replace(
         F.regexp_replace(text, f" *+{CELL_MARK} *+", " | "), F.lit(ROW_MARK), F.lit(" |\n"))
     fenced = F.array_join(F.transform(
@@ -367,7 +368,7 @@ def _normalise(df: DataFrame, column: str) -> DataFrame:
             i % 2 == 1, F.concat(F.lit("```\n"), F.regexp_replace(part, r"\n\z", ""), F.lit("\n```"))
         ).otherwise(collapse_inline(part))), "")
     return (
-        df.withColumn(column, F.regexp_replace(text, f"(?<!{any_li}){any_li}*{LI_MARK}", "\n"))
+        df.withColumn(column, F.regexp_replace(text, f"{item_end}(?<!{item_end}{item_end}){item_end}*(?<={LI_MARK})", "\n"))
         .withColumn(column, F.when(F.contains(text, F.lit(CAPTION_OPEN)), captioned).otherwise(text))
         .withColumn(column, F.when(F.contains(text, F.lit(CELL_MARK)), celled).otherwise(text))
         .withColumn(column, F.when(F.contains(text, F.lit(FENCE_OPEN)), fenced).otherwise(collapse_inline(text)))
