@@ -67,16 +67,16 @@ def parse_url(url: Column) -> Column:
     """
 
     def from_authority(parts):
-        return F.struct(
-            parts["scheme"].alias("scheme"),
-            let(F.lower(F.regexp_replace(parts["authority"], r":[^:\]]*+\z", "")), _parsed_host).alias("host"),
-            F.regexp_extract(parts["authority"], r":([^:\]]*+)\z", 1).alias("port"))
+        return F.named_struct(
+            F.lit("scheme"), parts["scheme"],
+            F.lit("host"), let(F.lower(F.regexp_replace(parts["authority"], r":[^:\]]*+\z", "")), _parsed_host),
+            F.lit("port"), F.regexp_extract(parts["authority"], r":([^:\]]*+)\z", 1))
 
     def split(cleaned):
         authority = F.regexp_extract(cleaned, r"\A[^:]*+:[/\\]*+([^/\\?#]*+)", 1)
-        return F.struct(
-            F.lower(F.regexp_extract(cleaned, r"\A([A-Za-z][A-Za-z0-9+.\-]*+):", 1)).alias("scheme"),
-            F.substring_index(authority, "@", -1).alias("authority"))
+        return F.named_struct(
+            F.lit("scheme"), F.lower(F.regexp_extract(cleaned, r"\A([A-Za-z][A-Za-z0-9+.\-]*+):", 1)),
+            F.lit("authority"), F.substring_index(authority, "@", -1))
 
     return let(let(clean_url(url), split), from_authority)
 
