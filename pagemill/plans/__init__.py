@@ -2,7 +2,7 @@
 
 
 def _load():
-    from pagemill.plans import cleaning, web  # noqa: F401
+    from pagemill.plans import cleaning, structure, web  # noqa: F401
 
 
 def all_queries():
