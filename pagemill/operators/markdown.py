@@ -9,7 +9,7 @@ The only exchange is one hash partitioning of the *unexploded* pages by key; eve
 and the final aggregation reuse it. A page is the unit of work and never leaves its task.
 """
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pagemill import fixed
 from pagemill.fixed import (
@@ -40,18 +40,22 @@ _CELL_EDGES = ["tr", "td", "th", "/tr", "/td", "/th", "figcaption", "/figcaption
 _END = "end-of-page"
 
 
-def _before(window):
-    return window.rowsBetween(Window.unboundedPreceding, -1)
+def _names(names) -> str:
+    return ", ".join(f"'{n}'" for n in names)
 
 
-def _upto(window):
-    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _lit(text: str) -> str:
+    return f"'{text}'"
 
 
-def _flag(window, sets: Column, clears: Column) -> Column:
-    """State before the current event of a switch that some events set and others clear."""
-    state = F.when(sets, True).when(clears, False)
-    return F.coalesce(F.last(state, True).over(_before(window)), F.lit(False))
+def _over(page: list[str], frame="current row", order="pos", also=()) -> str:
+    """SQL window over the events of a page, from its start up to the current or previous row."""
+    by = ", ".join(f"`{c}`" for c in [*page, *also])
+    return f"over (partition by {by} order by {order} rows between unbounded preceding and {frame})"
+
+
+_PREVIOUS = "1 preceding"
+_FLUSH = f"(ev in ({_names(_FLUSHING)}) or ev = '{_END}')"
 
 
 def _events(pages: DataFrame, keys: list[str], html: str, others: list[str]) -> DataFrame:
@@ -59,7 +63,9 @@ def _events(pages: DataFrame, keys: list[str], html: str, others: list[str]) ->
     pieces = token_pieces(F.col(html), tokens)
     edge = F.struct(F.lit("").alias("token"), F.lit(True).alias("raw"))
     last = F.struct(F.lit(_END).alias("token"), F.lit(False).alias("raw"))
-    rows = pages.repartition(*keys).select(
+    # A page grows manyfold when exploded, so its small size must not shrink the task count.
+    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = pages.repartition(tasks, *keys).select(
         *keys, F.struct(*others).alias("carried") if others else F.lit(None).cast("string").alias("carried"),
         F.posexplode(F.concat(F.array(edge), F.coalesce(pieces, F.array()), F.array(last))).alias("pos", "p"))
     token = F.col("p.token")
@@ -78,23 +84,14 @@ def _events(pages: DataFrame, keys: list[str], html: str, others: list[str]) ->
 
 def _without_skipped(events: DataFrame, page: list[str]) -> DataFrame:
     """Drop skip elements with their whole subtree; a stray end tag counts for nothing."""
-    w = Window.partitionBy(*page).orderBy("pos")
-    delta = {
-        n: F.when(F.col("ev") == n, 1).when(F.col("ev") == "/" + n, -1).otherwise(0)
-        for n in _SKIP_NESTED}
-    sums = events.select(
-        "*", *[F.sum(d).over(_upto(w)).alias(f"s_{n}") for n, d in delta.items()])
-    lows = sums.select(
-        "*", *[F.least(F.min(f"s_{n}").over(_upto(w)), F.lit(0)).alias(f"m_{n}") for n in _SKIP_NESTED])
-    visible = ~F.col("ev").isin(_SKIP_NESTED + ["/" + n for n in _SKIP_NESTED])
-    for n in _SKIP_NESTED:
-        visible &= F.col(f"s_{n}") <= F.col(f"m_{n}")
-    keep = visible | (F.col("pos") == 0) | (F.col("ev") == _END)
-    return lows.where(keep).select(*events.columns)
-
-
-def _attr(name: str) -> Column:
-    return F.coalesce(H.get_attr_decoded(F.col("attrs"), name), F.lit(""))
+    w = _over(page)
+    sums = events.selectExpr("*", *[
+        f"sum(case ev when '{n}' then 1 when '/{n}' then -1 else 0 end) {w} as s_{n}" for n in _SKIP_NESTED])
+    lows = sums.selectExpr("*", *[f"least(min(s_{n}) {w}, 0) as m_{n}" for n in _SKIP_NESTED])
+    outside = " and ".join(f"s_{n} <= m_{n}" for n in _SKIP_NESTED)
+    skip_tags = _names(_SKIP_NESTED + ["/" + n for n in _SKIP_NESTED])
+    return lows.where(
+        f"({outside} and ev not in ({skip_tags})) or pos = 0 or ev = '{_END}'").select(*events.columns)
 
 
 def _escape_alt(alt: Column) -> Column:
@@ -102,251 +99,225 @@ def _escape_alt(alt: Column) -> Column:
 
 
 def _with_attributes(events: DataFrame) -> DataFrame:
+    """Decode texts and the attributes the rules need: `note` (address, title, alt) and `src`."""
     ev = F.col("ev")
     rows = events.withColumn(
-        "attrs", F.when(ev.isin("a", "img", "source", "abbr", "time"), H.tag_attributes(F.col("tag")))
-    )
-    first_word = F.regexp_extract(
-        F.when(_attr("srcset") != "", _attr("srcset")).otherwise(_attr("src")), r"\A[^\s]*", 0)
-    return rows.select(
-        *[c for c in events.columns if c not in ("tag", "text")],
-        F.when(F.col("text").isNotNull(), decode_entities(F.col("text"))).alias("text"),
-        F.when(ev == "a", _attr("href")).when(ev == "abbr", _attr("title"))
-        .when(ev == "time", _attr("datetime")).when(ev == "img", _attr("alt")).alias("note"),
-        F.when(ev == "img", _attr("src")).when(ev == "source", first_word).alias("src"),
-    )
+        "attrs", F.when(ev.isin("a", "img", "source", "abbr", "time"), H.tag_attributes(F.col("tag"))))
+    rows = rows.selectExpr(
+        *[c if c == "pos" else f"`{c}`" for c in events.columns if c != "tag"],
+        """get(filter(attrs, a -> lower(a.name) = case ev when 'a' then 'href' when 'img' then 'alt'
+           when 'abbr' then 'title' when 'time' then 'datetime' end), 0).value as note""",
+        """coalesce(
+           case when ev = 'source' then nullif(get(filter(attrs, a -> lower(a.name) = 'srcset'), 0).value, '') end,
+           case when ev in ('img', 'source') then get(filter(attrs, a -> lower(a.name) = 'src'), 0).value end) as src""")
+    decoded = rows.withColumns({c: decode_entities(F.col(c)) for c in ("text", "note", "src")})
+    return decoded.withColumns({
+        "note": F.expr("case when ev in ('a', 'img', 'abbr', 'time') then coalesce(note, '') end"),
+        "src": F.expr(r"""case ev when 'img' then coalesce(src, '')
+                          when 'source' then regexp_extract(coalesce(src, ''), r'\A[^\s]*', 0) end""")})
 
 
 def _context(events: DataFrame, page: list[str]) -> DataFrame:
-    """Running context of each event; all of these windows share one sort."""
-    w = Window.partitionBy(*page).orderBy("pos")
-    ev = F.col("ev")
-    is_text = F.col("text").isNotNull()
-    flushing = ev.isin(_FLUSHING) | (ev == _END)
-    blank = is_text & ~F.coalesce(F.col("text"), F.lit("")).rlike(NOT_TRIM_ANY)
-    list_step = F.when(ev.isin("ul", "ol"), 1).when(ev.isin("/ul", "/ol"), -1).otherwise(0)
-    clears_lists = ev.isin(fixed.HEADINGS + ["hr", "pre"])
+    """Running context of each event; all forward windows share one sort, all backward ones another."""
+    w, before = _over(page), _over(page, _PREVIOUS)
 
-    one = events.select(
-        "*",
-        _flag(w, ev == "pre", (ev == "/pre") | flushing).alias("in_pre"),
-        _flag(w, ev == "table", (ev == "/table") | flushing).alias("in_table"),
-        _flag(w, ev == "tr", ev.isin("/tr", "/table") | flushing).alias("in_tr"),
-        _flag(w, ev == "figcaption", ev.isin("/figcaption", "/figure", "figure") | flushing).alias("in_cap"),
-        _flag(w, ev == "picture", ev.isin("/picture", "/figure") | flushing).alias("in_pic"),
-        (F.last(F.when(~blank & (F.col("pos") > 0), ev), True).over(_before(w)) == "hr").alias("after_hr"),
-        F.sum(list_step).over(_upto(w)).alias("s_list"),
-        F.sum(list_step - F.when(clears_lists, _RESET).otherwise(0)).over(_upto(w)).alias("s_marks"),
-        blank.alias("blank"),
-    )
-    in_row = F.col("in_table") & F.col("in_tr")
-    pre_text = is_text & F.col("in_pre") & (F.col("text") != "")
-    breaks = (
-        ev.isin(_BREAK_OPENS + _BREAK_CLOSES + _CELL_EDGES + [_END])
-        | ((ev == "img") & ~F.col("in_pic")))
-    two = one.select(
-        "*", in_row.alias("in_row"), pre_text.alias("pre_text"), breaks.alias("breaks"),
-        (F.col("s_list") - F.least(F.min("s_list").over(_upto(w)), F.lit(0))).alias("list_depth"),
-        (F.col("s_marks") - F.least(F.min("s_marks").over(_upto(w)), F.lit(0))).alias("mark_depth"),
-        F.count_if(ev.isin("td", "th") & in_row).over(_upto(w)).alias("n_td"),
-        F.count_if(pre_text).over(_upto(w)).alias("n_pre"),
-        F.count_if(F.col("in_pic") & (F.coalesce("src", F.lit("")) != "")).over(_upto(w)).alias("n_src"),
-        F.count_if(F.col("in_pic") & (ev == "img") & (F.col("note") != "")).over(_upto(w)).alias("n_alt"),
-        F.count_if(breaks).over(_upto(w)).alias("segment"),
-    )
+    def switch(sets, clears):
+        """State before the event of a switch that some events set and others clear."""
+        return f"coalesce(last(case when {sets} then true when {clears} then false end, true) {before}, false)"
 
     def at(event, column):
-        return F.coalesce(F.last(F.when(ev == event, F.col(column)), True).over(_upto(w)), F.lit(0))
+        """Value of a running count at the last such event."""
+        return f"coalesce(last(case when ev = '{event}' then {column} end, true) {w}, 0)"
 
-    li_step = (
-        F.when(ev == "li", 1).when(ev == "/li", -1)
-        .when(ev.isin("/ul", "/ol") & (F.col("list_depth") == 0), -_RESET).otherwise(0))
-    three = two.select(
+    list_step = "case when ev in ('ul', 'ol') then 1 when ev in ('/ul', '/ol') then -1 else 0 end"
+    clears_lists = f"ev in ({_names(fixed.HEADINGS + ['hr', 'pre'])})"
+    rows = events.withColumn("blank", F.col("text").isNotNull() & ~F.coalesce("text", F.lit("")).rlike(NOT_TRIM_ANY))
+    rows = rows.selectExpr(
         "*",
-        F.sum(li_step).over(_upto(w)).alias("s_li"),
-        (F.col("n_td") - at("tr", "n_td")).alias("td_in_row"),
-        (F.col("n_pre") - at("pre", "n_pre")).alias("pre_no"),
-        (F.col("n_src") - at("picture", "n_src")).alias("src_no"),
-        (F.col("n_alt") - at("picture", "n_alt")).alias("alt_no"),
-    )
+        switch("ev = 'pre'", f"ev = '/pre' or {_FLUSH}") + " as in_pre",
+        switch("ev = 'table'", f"ev = '/table' or {_FLUSH}") + " as in_table",
+        switch("ev = 'tr'", f"ev in ('/tr', '/table') or {_FLUSH}") + " as in_tr",
+        switch("ev = 'figcaption'", f"ev in ('/figcaption', '/figure', 'figure') or {_FLUSH}") + " as in_cap",
+        switch("ev = 'picture'", f"ev in ('/picture', '/figure') or {_FLUSH}") + " as in_pic",
+        f"coalesce(last(case when not blank and pos > 0 then ev end, true) {before} = 'hr', false) as after_hr",
+        f"sum({list_step}) {w} as s_list",
+        f"sum({list_step} - case when {clears_lists} then {_RESET} else 0 end) {w} as s_marks")
+    breaks = _names(_BREAK_OPENS + _BREAK_CLOSES + _CELL_EDGES + [_END])
+    rows = rows.selectExpr(
+        "*", "in_table and in_tr as in_row", "in_pre and text is not null and text != '' as pre_text",
+        f"ev in ({breaks}) or (ev = 'img' and not in_pic) as breaks")
+    rows = rows.selectExpr(
+        "*",
+        f"s_list - least(min(s_list) {w}, 0) as list_depth",
+        f"s_marks - least(min(s_marks) {w}, 0) as mark_depth",
+        f"count_if(ev in ('td', 'th') and in_row) {w} as n_td",
+        f"count_if(pre_text) {w} as n_pre",
+        f"count_if(in_pic and coalesce(src, '') != '') {w} as n_src",
+        f"count_if(in_pic and ev = 'img' and note != '') {w} as n_alt",
+        f"count_if(breaks) {w} as segment")
+    rows = rows.selectExpr(
+        "*",
+        f"""sum(case when ev = 'li' then 1 when ev = '/li' then -1
+            when ev in ('/ul', '/ol') and list_depth = 0 then -{_RESET} else 0 end) {w} as s_li""",
+        f"n_td - {at('tr', 'n_td')} as td_in_row",
+        f"n_pre - {at('pre', 'n_pre')} as pre_no",
+        f"n_src - {at('picture', 'n_src')} as src_no",
+        f"n_alt - {at('picture', 'n_alt')} as alt_no")
     # A cell starts at td or th; text in a row before any cell is a cell of its own.
-    cell_start = F.col("in_row") & (
-        ev.isin("td", "th") | (is_text & ~F.col("blank") & (F.col("td_in_row") == 0)))
-    four = three.select(
-        "*", cell_start.alias("cell_start"),
-        (F.col("s_li") > F.least(F.min("s_li").over(_upto(w)), F.lit(0))).alias("in_li"),
-        F.count_if(cell_start).over(_upto(w)).alias("n_cell"),
-    )
-    row_base = F.coalesce(F.last(F.when(ev == "tr", F.col("n_cell")), True).over(_before(w)), F.lit(0))
-    table_base = F.coalesce(F.last(F.when(ev == "table", F.col("n_cell")), True).over(_before(w)), F.lit(0))
-    five = four.select("*", row_base.alias("row_base"), table_base.alias("table_base"))
-    row_ends = ev.isin("tr", "/tr", "/table") | flushing
-    row_cells = F.col("n_cell") - F.col("row_base")
-    context = five.withColumn(
-        "row_cells", F.when(F.col("in_row") & row_ends & (row_cells > 0), row_cells))
+    rows = rows.selectExpr(
+        "*", "in_row and (ev in ('td', 'th') or (text is not null and not blank and td_in_row = 0)) as cell_start",
+        f"s_li > least(min(s_li) {w}, 0) as in_li")
+    rows = rows.selectExpr("*", f"count_if(cell_start) {w} as n_cell")
+    rows = rows.selectExpr(
+        "*",
+        f"coalesce(last(case when ev = 'tr' then n_cell end, true) {before}, 0) as row_base",
+        f"coalesce(last(case when ev = 'table' then n_cell end, true) {before}, 0) as table_base")
+    rows = rows.selectExpr(
+        "*", f"""case when in_row and (ev in ('tr', '/tr', '/table') or {_FLUSH}) and n_cell > row_base
+                 then n_cell - row_base end as row_cells""")
 
-    # Nearest following event that lets deferred output out: one sort for all of them.
-    back = Window.partitionBy(*page).orderBy(F.col("pos").desc())
+    # Nearest following event that lets deferred output out.
+    here, after = _over(page, order="pos desc"), _over(page, _PREVIOUS, "pos desc")
 
     def following(condition, frame):
-        return F.last(F.when(condition, F.col("pos")), True).over(frame)
+        return f"last(case when {condition} then pos end, true) {frame}"
 
-    return context.select(
+    return rows.selectExpr(
         "*",
-        following((ev == "/pre") | flushing, _upto(back)).alias("pre_out"),
-        following((ev == "/table") | flushing, _upto(back)).alias("table_out"),
-        following(ev.isin("/figure", "figure") | flushing, _upto(back)).alias("caption_out"),
-        following(ev.isin("/picture", "/figure", "picture") | flushing, _before(back)).alias("picture_out"),
-        following(ev.isin("/figcaption", "/figure", "figure") | flushing, _before(back)).alias("caption_end"),
-        following(F.col("breaks"), _before(back)).alias("segment_end"),
-    )
+        following(f"ev = '/pre' or {_FLUSH}", here) + " as pre_out",
+        following(f"ev = '/table' or {_FLUSH}", here) + " as table_out",
+        following(f"ev in ('/figure', 'figure') or {_FLUSH}", here) + " as caption_out",
+        following(f"ev in ('/picture', '/figure', 'picture') or {_FLUSH}", after) + " as picture_out",
+        following(f"ev in ('/figcaption', '/figure', 'figure') or {_FLUSH}", after) + " as caption_end",
+        following("breaks", after) + " as segment_end")
 
 
 def _inline(context: DataFrame, page: list[str]) -> DataFrame:
     """Pair inline markers inside a segment, and give list items their list kind."""
-    ev = F.col("ev")
-    marker = F.create_map(*[F.lit(x) for pair in fixed.EMPHASIS.items() for x in pair])
-    name = F.ltrim(ev, F.lit("/"))
-    noted = F.col("note") != ""
-    kind = F.when(~F.col("in_pre"), (
-        F.when((ev == "a") & noted | (ev == "/a"), "link")
-        .when(ev.isin("abbr", "time") & noted | ev.isin("/abbr", "/time"), "note")
-        .when(name.isin(list(fixed.EMPHASIS)), F.try_element_at(marker, name))))
-    rows = context.withColumn("kind", kind)
-    is_marker = F.col("kind").isNotNull()
-    step = F.when(is_marker, F.when(F.startswith(ev, F.lit("/")), -1).otherwise(1)).otherwise(0)
-    in_list = ev.isin("ul", "ol", "li") & (F.col("mark_depth") > 0)
+    name = "ltrim('/', ev)"
+    markers = " ".join(f"when '{n}' then '{m}'" for n, m in fixed.EMPHASIS.items())
+    rows = context.selectExpr("*", f"""
+        case when in_pre then null
+             when (ev = 'a' and note != '') or ev = '/a' then 'link'
+             when (ev in ('abbr', 'time') and note != '') or ev in ('/abbr', '/time') then 'note'
+             else case {name} {markers} end end as kind""")
     # One partitioning serves both: markers by (segment, kind), list rows by depth.
-    rows = rows.select(
-        "*", step.alias("step"),
-        F.when(is_marker, F.col("segment")).when(in_list, -1).otherwise(-2).alias("g_seg"),
-        F.when(is_marker, F.col("kind")).when(in_list, F.col("mark_depth").cast("string")).alias("g_kind"))
-    w = Window.partitionBy(*page, "g_seg", "g_kind").orderBy("pos")
-    summed = rows.select(
-        "*", F.sum("step").over(_upto(w)).alias("s_mark"),
-        F.last(F.when(ev.isin("ul", "ol"), ev), True).over(_upto(w)).alias("list_kind"))
-    floor = F.least(F.coalesce(F.min("s_mark").over(_before(w)), F.lit(0)), F.lit(0))
-    depth = F.col("s_mark") - F.col("floor")
-    leveled = summed.select("*", floor.alias("floor")).withColumn(
-        "level", F.when(F.col("step") == 1, depth).when((F.col("step") == -1) & (depth >= 0), depth + 1))
-    close_text = (
-        F.when(F.col("kind") == "link", F.concat(F.lit("]("), "note", F.lit(")")))
-        .when(F.col("kind") == "note", F.concat(F.lit(" ("), "note", F.lit(")")))
-        .otherwise(F.col("kind")))
-    v = Window.partitionBy(*page, "g_seg", "g_kind", "level").orderBy("pos")
-    closing = F.when(F.col("step") == 1, close_text)
-    return leveled.select(
-        "*", closing.alias("close_text"),
-        F.when(F.col("level").isNotNull() & (F.col("step") == -1), F.lag(closing).over(v)).alias("closed_text"),
-        F.when(F.col("step") == 1, F.lead("pos").over(v).isNull()).alias("unclosed"))
-
-
-def _piece(o1, o2, o3, o4, text, spacing=False, quoting=False) -> Column:
-    return F.struct(
-        o1.cast("long").alias("o1"), F.lit(o2).alias("o2"), o3.cast("long").alias("o3"),
-        (o4 if isinstance(o4, Column) else F.lit(o4)).cast("long").alias("o4"),
-        (text if isinstance(text, Column) else F.lit(text)).alias("s"),
-        F.lit(spacing).alias("spacing"), F.lit(quoting).alias("quoting"))
-
-
-def _pieces() -> Column:
-    """Rendered pieces of one event. Order: output position, phase, position, sub-position.
-
-    Phases: 0 code content, 1 closing fence, 2 open inline markers, 3 table rows, 4 picture,
-    5 caption, 6 block spacing, 7 the event's own text.
+    rows = rows.selectExpr(
+        "*", "case when kind is null then 0 when ev like '/%' then -1 else 1 end as step",
+        """case when kind is not null then segment
+                when ev in ('ul', 'ol', 'li') and mark_depth > 0 then -1 else -2 end as g_seg""",
+        """case when kind is not null then kind
+                when ev in ('ul', 'ol', 'li') and mark_depth > 0 then cast(mark_depth as string) end as g_kind""",
+        """case when kind is not null and ev not like '/%' then
+                case kind when 'link' then concat('](', note, ')') when 'note' then concat(' (', note, ')') else kind end
+           end as close_text""")
+    group = ("g_seg", "g_kind")
+    w, before = _over(page, also=group), _over(page, _PREVIOUS, also=group)
+    rows = rows.selectExpr(
+        "*", f"sum(step) {w} as s_mark", f"last(case when ev in ('ul', 'ol') then ev end, true) {w} as list_kind")
+    rows = rows.selectExpr("*", f"s_mark - least(coalesce(min(s_mark) {before}, 0), 0) as depth")
+    rows = rows.selectExpr(
+        "*", "case when step = 1 then depth when step = -1 and depth >= 0 then depth + 1 end as level")
+    by = ", ".join(f"`{c}`" for c in [*page, *group, "level"])
+    v = f"over (partition by {by} order by pos)"
+    return rows.selectExpr(
+        "*", f"case when step = -1 and level is not null then lag(close_text) {v} end as closed_text",
+        f"case when step = 1 then lead(pos) {v} is null end as unclosed")
+
+
+def _piece(o1, o2, o3, o4, text, spacing="false", quoting="false") -> str:
+    return (
+        f"named_struct('o1', cast({o1} as bigint), 'o2', {o2}, 'o3', cast({o3} as bigint), "
+        f"'o4', cast({o4} as bigint), 's', {text}, 'spacing', {spacing}, 'quoting', {quoting})")
+
+
+def _pieces(rows: DataFrame) -> DataFrame:
+    """Adds `pieces`, the rendered pieces of each event.
+
+    Order: output position, phase, position, sub-position. Phases: 0 code content, 1 closing
+    fence, 2 open inline markers, 3 table rows, 4 picture, 5 caption, 6 block spacing, 7 the
+    event's own text. A piece goes to the table cell, the caption or the page, by context;
+    inside cells and captions line breaks are blanks.
     """
-    ev, pos = F.col("ev"), F.col("pos")
-    is_text = F.col("text").isNotNull()
-    own_page = ev.isin(_FLUSHING)
-    in_cell = F.col("in_row") & ~own_page
-    in_cap = F.col("in_cap") & ~own_page & ~in_cell
-
-    def routed(text, sub, spacing=False, quoting=False):
-        """A piece that goes to the table cell, the caption or the page, by context."""
-        inline = " " if spacing else collapse_whitespace(F.replace(text, F.lit(LI_MARK), F.lit(" ")))
-        return (
-            F.when(in_cell, _piece(F.col("table_out"), 3, pos, sub, inline))
-            .when(in_cap, _piece(F.col("caption_out"), 5, pos, sub, inline))
-            .otherwise(_piece(pos, 6 if spacing else 7, pos, sub, text, spacing, quoting)))
-
-    # -- text
-    code_text = F.when(F.col("pre_text"), F.array(
-        F.when(F.col("pre_no") == 1, _piece(F.col("pre_out"), 0, pos, 0, "", True)),
-        F.when(F.col("pre_no") == 1, _piece(F.col("pre_out"), 0, pos, 1, FENCE_OPEN)),
-        _piece(F.col("pre_out"), 0, pos, 2, F.col("text")),
-        F.when(F.col("pre_no") == 1, _piece(F.col("pre_out"), 1, pos, 0, FENCE_CLOSE + "\n\n"))))
-    first_cell = F.col("n_cell") - F.col("table_base") == 1
-    cell_mark = F.when(F.col("cell_start"), F.array(
-        F.when(first_cell, _piece(F.col("table_out"), 3, pos, 0, "", True)),
-        _piece(F.col("table_out"), 3, pos, 1, CELL_MARK)))
-    row_text = ~F.col("in_row") | ~F.col("blank") | (F.col("td_in_row") > 0)
-    text_pieces = F.when(F.col("in_pre"), code_text).otherwise(F.concat(
-        F.coalesce(cell_mark, F.expr(f"cast(array() as {_TYPE})")), F.array(F.when(row_text, routed(F.col("text"), 2)))))
-
-    # -- inline markers
-    opening = F.when(F.col("kind") == "link", "[").when(F.col("kind") == "note", "").otherwise(F.col("kind"))
-    closer = (
-        F.when(in_cell, _piece(F.col("table_out"), 3, F.col("segment_end"), -pos - 1, F.col("close_text")))
-        .when(in_cap, _piece(F.col("caption_out"), 5, F.col("segment_end"), -pos - 1, F.col("close_text")))
-        .otherwise(_piece(F.col("segment_end"), 2, -pos, 0, F.col("close_text"))))
-    marker_pieces = (
-        F.when(F.col("step") == 1, F.array(routed(opening, 2), F.when(F.col("unclosed"), closer)))
-        .otherwise(F.array(F.when(F.col("level").isNotNull(), routed(F.col("closed_text"), 2)))))
-
-    # -- blocks
-    spaced = (
-        ev.isin(fixed.HEADINGS + ["pre", "blockquote", "table", "ul", "ol", "details"] + _PLAIN_BLOCKS)
-        | ((ev == "p") & ~F.col("in_li"))
-        | ((ev == "hr") & ~F.coalesce("after_hr", F.lit(False))))
-    quoting = ev.isin("blockquote", "details")
-    indent = F.repeat(F.lit("  "), (F.col("mark_depth") - 1).cast("int"))
-    own = (
-        F.when(ev.isin(fixed.HEADINGS),
-               F.concat(F.repeat(F.lit("#"), F.coalesce(F.substring(ev, 2, 1).try_cast("int"), F.lit(0))), F.lit(" ")))
-        .when(ev.isin(_SPACED_CLOSES) | ((ev == "/p") & ~F.col("in_li")), "\n\n")
-        .when((ev == "br") & ~F.col("in_pre"), "\n\n")
-        .when((ev == "hr") & ~F.coalesce("after_hr", F.lit(False)), "---\n\n")
-        .when((ev == "li") & (F.col("mark_depth") > 0),
-              F.concat(indent, F.when(F.col("list_kind") == "ol", "1. ").otherwise("- ")))
-        .when(ev == "li", "- ")
-        .when(ev == "/li", LI_MARK)
-        .when(ev == "summary", "**")
-        .when(ev == "/summary", "**\n> ")
-        .when((ev == "img") & ~F.col("in_pic"),
-              F.concat(F.lit("!["), _escape_alt(F.col("note")), F.lit("]("), "src", F.lit(")"))))
-    row_end = F.col("row_cells").isNotNull()
-    separator = F.when(
-        F.col("row_base") == F.col("table_base"),
-        F.concat(F.lit("|"), F.repeat(F.lit(" --- |"), F.col("row_cells").cast("int")), F.lit("\n"))).otherwise("")
-    picture_src = F.col("in_pic") & (F.coalesce("src", F.lit("")) != "") & (F.col("src_no") == 1)
-    picture_alt = F.col("in_pic") & (ev == "img") & (F.col("note") != "") & (F.col("alt_no") == 1) & (F.col("src_no") > 0)
+    block = fixed.HEADINGS + ["pre", "blockquote", "table", "ul", "ol", "details"] + _PLAIN_BLOCKS
+    rows = rows.selectExpr(
+        "*",
+        f"""case when ev in ({_names(_FLUSHING)}) then 'page' when in_row then 'cell' when in_cap then 'caption'
+            else 'page' end as route""",
+        f"""ev in ({_names(block)}) or (ev = 'p' and not in_li) or (ev = 'hr' and not after_hr) as spaced""",
+        f"""case
+            when text is not null then case when not in_row or not blank or td_in_row > 0 then text end
+            when step = 1 then case kind when 'link' then '[' when 'note' then '' else kind end
+            when kind is not null then closed_text
+            when ev in ({_names(fixed.HEADINGS)}) then concat(repeat('#', cast(substring(ev, 2, 1) as int)), ' ')
+            when ev in ({_names(_SPACED_CLOSES)}) or (ev = '/p' and not in_li) or ev = 'br' then '\n\n'
+            when ev = 'hr' then case when not after_hr then '---\n\n' end
+            when ev = 'li' then case when mark_depth > 0
+              then concat(repeat('  ', cast(mark_depth - 1 as int)), case when list_kind = 'ol' then '1. ' else '- ' end)
+              else '- ' end
+            when ev = '/li' then '{LI_MARK}'
+            when ev = 'summary' then '**'
+            when ev = '/summary' then '**\n> '
+            when ev in ('blockquote', 'details') then '> '
+            when ev = 'img' then concat('![', replace(replace(note, ']', '\\\\]'), '[', '\\\\['), '](', src, ')')
+            end as own""")
+    # Where the piece goes, and as what.
+    rows = rows.selectExpr(
+        "*",
+        "case route when 'cell' then table_out when 'caption' then caption_out else pos end as r1",
+        "case route when 'cell' then 3 when 'caption' then 5 else 7 end as r2",
+        "case route when 'page' then 6 when 'cell' then 3 else 5 end as e2")
+    rows = rows.withColumn("own", F.when(F.col("route") == "page", F.col("own")).otherwise(
+        collapse_whitespace(F.replace("own", F.lit(LI_MARK), F.lit(" ")))))
+    first_code = "pre_no = 1"
+    fence = [
+        f"case when {first_code} then {_piece('pre_out', 0, 'pos', 0, _lit(''), 'true')} end",
+        f"case when {first_code} then {_piece('pre_out', 0, 'pos', 1, _lit(FENCE_OPEN))} end",
+        _piece("pre_out", 0, "pos", 2, "text"),
+        f"case when {first_code} then {_piece('pre_out', 1, 'pos', 0, _lit(FENCE_CLOSE + chr(92) + 'n' + chr(92) + 'n'))} end"]
+    cell = [
+        f"case when cell_start and n_cell - table_base = 1 then {_piece('table_out', 3, 'pos', 0, _lit(''), 'true')} end",
+        f"case when cell_start then {_piece('table_out', 3, 'pos', 1, _lit(CELL_MARK))} end"]
+    own = f"case when own is not null then {_piece('r1', 'r2', 'pos', 2, 'own', 'false', 'coalesce(ev in (' + _names(['blockquote', 'details']) + ') and route = ' + _lit('page') + ', false)')} end"
+    closer = f"""case when unclosed then case route
+        when 'page' then {_piece('segment_end', 2, '-pos', 0, 'close_text')}
+        else {_piece('r1', 'r2', 'segment_end', '-pos - 1', 'close_text')} end end"""
+    separator = """case when row_base = table_base
+        then concat('|', repeat(' --- |', cast(row_cells as int)), '\n') else '' end"""
+    row_end = f"case when row_cells is not null then {_piece('table_out', 3, 'pos', 0, 'concat(' + _lit(ROW_MARK) + ', ' + separator + ')')} end"
+    spacing = f"case when spaced then {_piece('r1', 'e2', 'pos', 1, 'case route when ' + _lit('page') + ' then ' + _lit('') + ' else ' + _lit(' ') + ' end', 'route = ' + _lit('page'))} end"
 
     def picture(sub, text):
-        return (
-            F.when(in_cell, _piece(F.col("table_out"), 3, F.col("picture_out"), sub - 1_000_000, text))
-            .otherwise(_piece(F.col("picture_out"), 4, F.lit(0), sub, text)))
-
-    tag_pieces = (
-        F.when(ev.isin("img", "source") & F.col("in_pic"), F.array(
-            F.when(picture_src, picture(0, "![")),
-            F.when(picture_alt, picture(1, _escape_alt(F.col("note")))),
-            F.when(picture_src, picture(2, F.concat(F.lit("]("), "src", F.lit(")"))))))
-        .when((ev == "figcaption"), F.array(
-            _piece(F.col("caption_out"), 5, pos, 0, CAPTION_OPEN),
-            _piece(F.col("caption_out"), 5, F.col("caption_end"), 0, CAPTION_CLOSE)))
-        .when((ev == "br") & F.col("in_pre"), F.array(_piece(F.col("pre_out"), 0, pos, 2, "\n")))
-        .when(ev.isin("td", "th"), cell_mark)
-        .otherwise(F.array(
-            F.when(row_end, _piece(F.col("table_out"), 3, pos, 0, F.concat(F.lit(ROW_MARK), separator))),
-            F.when(spaced, routed(F.lit(""), 0, True)),
-            F.when(own.isNotNull(), routed(own, 1)),
-            F.when(quoting, routed(F.lit("> "), 1, False, True)))))
-    pieces = F.when(is_text, text_pieces).when(F.col("kind").isNotNull(), marker_pieces).otherwise(tag_pieces)
-    return F.filter(F.coalesce(pieces, F.expr(f"cast(array() as {_TYPE})")), lambda p: p.isNotNull())
-
-
-_TYPE = (
-    "array<struct<o1:bigint,o2:int,o3:bigint,o4:bigint,s:string,spacing:boolean,quoting:boolean>>")
+        return f"""case route when 'cell' then {_piece('table_out', 3, 'picture_out', sub - 1000000, text)}
+                   else {_piece('picture_out', 4, 0, sub, text)} end"""
+
+    has_src = "coalesce(src, '') != '' and src_no = 1"
+    in_picture = [
+        f"case when {has_src} then {picture(0, _lit('!['))} end",
+        f"""case when ev = 'img' and note != '' and alt_no = 1 and src_no > 0
+            then {picture(1, "replace(replace(note, ']', '\\\\]'), '[', '\\\\[')")} end""",
+        f"case when {has_src} then {picture(2, 'concat(' + _lit('](') + ', src, ' + _lit(')') + ')')} end"]
+    caption = [
+        _piece("caption_out", 5, "pos", 0, f"'{CAPTION_OPEN}'"),
+        _piece("caption_out", 5, "caption_end", 0, f"'{CAPTION_CLOSE}'")]
+    code_break = [_piece("pre_out", 0, "pos", 2, "'\n'")]
+    listed = {
+        "pre_text": fence,
+        "in_pre and text is not null": [],
+        "text is not null": cell + [own],
+        "kind is not null": [own, closer],
+        "in_pic and ev in ('img', 'source')": in_picture,
+        "ev = 'figcaption'": caption,
+        "in_pre and ev = 'br'": code_break,
+        "ev in ('td', 'th')": cell,
+        "true": [row_end, spacing, own],
+    }
+    cases = " ".join(
+        f"when {c} then array({', '.join(parts) or 'cast(null as ' + _TYPE + ')'})" for c, parts in listed.items())
+    return rows.withColumn("pieces", F.expr(f"filter(case {cases} end, p -> p is not null)"))
+
+
+_TYPE = "struct<o1:bigint,o2:int,o3:bigint,o4:bigint,s:string,spacing:boolean,quoting:boolean>"
 
 
 def _normalise(df: DataFrame, column: str) -> DataFrame:
@@ -382,21 +353,21 @@ def html_to_markdown(pages: DataFrame, keys: list[str], html="html", out="markdo
     keys = list(keys)
     others = [c for c in pages.columns if c not in keys] if carry else []
     events = _with_attributes(_without_skipped(_events(pages, keys, html, others), keys))
-    rows = _inline(_context(events, keys), keys)
-    pieces = rows.select(*keys, "pos", "carried", F.explode_outer(_pieces()).alias("p")).select(
-        *keys, "carried", "p.*")
+    rows = _pieces(_inline(_context(events, keys), keys))
+    pieces = rows.select(*keys, "carried", F.explode_outer("pieces").alias("p")).select(*keys, "carried", "p.*")
 
-    w = Window.partitionBy(*keys).orderBy("o1", "o2", "o3", "o4")
+    order = "o1, o2, o3, o4"
+    w, before = _over(keys, order=order), _over(keys, _PREVIOUS, order)
     # Spacing asked for right after "> " is left out once.
-    quoted = F.coalesce(F.last(
-        F.when(F.col("spacing") | F.col("quoting"), F.col("quoting")), True).over(_before(w)), F.lit(False))
-    marked = pieces.select("*", (F.col("spacing") & ~quoted).alias("gap"), F.row_number().over(w).alias("i"))
-    written = F.col("gap") | (F.col("s") != "")
-    newline = F.col("gap") | F.col("s").rlike(f"[\n{LI_MARK}{ROW_MARK}]\\z")
-    at_line_start = F.coalesce(F.last(F.when(written, newline), True).over(_before(w)), F.lit(True))
-    spaced = marked.select(
-        *keys, "carried", "i",
-        F.when(F.col("gap"), F.when(at_line_start, "").otherwise("\n\n")).otherwise(F.col("s")).alias("s"))
+    marked = pieces.selectExpr(
+        "*", f"spacing and not coalesce(last(case when spacing or quoting then quoting end, true) {before}, false) as gap",
+        f"row_number() {w} as i")
+    marked = marked.selectExpr(
+        "*", f"""coalesce(last(case when gap then true when s != '' then
+              right(s, 1) in ('\n', '{LI_MARK}', '{ROW_MARK}') end, true) {before}, true) as at_line_start""")
+    spaced = marked.selectExpr(
+        *[f"`{k}`" for k in keys], "carried", "i",
+        "case when gap then case when at_line_start then '' else '\n\n' end else s end as s")
     joined = spaced.groupBy(*keys).agg(
         F.first("carried", True).alias("carried"),
         F.array_sort(F.collect_list(F.when(F.col("s") != "", F.struct("i", "s")))).alias("parts"))

@@ -16,6 +16,14 @@ _ATTRS = rf"(?:[ \t\n\r/=]|{H.ATTRIBUTE})*+"
 _ANY_TAG = rf"(?s)</?+[^ \t\n\r>/]++{_ATTRS}>?+"
 
 
+def _before(window):
+    return window.rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _upto(window):
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def _readable(html: Column) -> Column:
     """The page without comments, doctypes and raw-text elements."""
     hidden = r"(?i)\A<(?:!--|!doctype|(?:script|style|textarea)[ \t\n\r>/])"
@@ -140,7 +148,7 @@ def _visible_events(pages: DataFrame, keys, html) -> DataFrame:
     """Events with `at`: the number of text characters before the event."""
     events = M._with_attributes(M._without_skipped(M._events(pages, list(keys), html, []), list(keys)))
     w = Window.partitionBy(*keys).orderBy("pos")
-    return events.withColumn("at", F.coalesce(F.sum(F.length("text")).over(M._before(w)), F.lit(0)))
+    return events.withColumn("at", F.coalesce(F.sum(F.length("text")).over(_before(w)), F.lit(0)))
 
 
 def _cut(rows: DataFrame, keys, span: Column, columns: list[str]) -> DataFrame:
@@ -165,14 +173,14 @@ def list_items(pages: DataFrame, keys=("page_id",), html="html") -> DataFrame:
     w = Window.partitionBy(*keys).orderBy("pos")
     ev = F.col("ev")
     step = F.when(ev.isin("ul", "ol"), 1).when(ev.isin("/ul", "/ol"), -1).otherwise(0)
-    rows = _visible_events(pages, keys, html).select("*", F.sum(step).over(M._upto(w)).alias("s"))
+    rows = _visible_events(pages, keys, html).select("*", F.sum(step).over(_upto(w)).alias("s"))
     edge = ev.isin("ul", "ol", "li", "/ul", "/ol", "/li", M._END)
     rows = rows.select(
-        "*", (F.col("s") - F.least(F.min("s").over(M._upto(w)), F.lit(0))).alias("depth"),
-        F.count_if(ev == "li").over(M._upto(w)).alias("n_li"))
+        "*", (F.col("s") - F.least(F.min("s").over(_upto(w)), F.lit(0))).alias("depth"),
+        F.count_if(ev == "li").over(_upto(w)).alias("n_li"))
     by_depth = Window.partitionBy(*keys, "depth").orderBy("pos")
     rows = rows.where(edge | (F.col("text") != "")).select(
-        "*", F.last(F.when(ev.isin("ul", "ol"), ev), True).over(M._upto(by_depth)).alias("kind"))
+        "*", F.last(F.when(ev.isin("ul", "ol"), ev), True).over(_upto(by_depth)).alias("kind"))
     edges = Window.partitionBy(*keys, edge).orderBy("pos")
     rows = rows.withColumn("stop", F.when(edge, F.lead("at").over(edges)))
     span = F.when(ev == "li", F.struct(
@@ -186,10 +194,10 @@ def _paired(rows: DataFrame, keys, name: str) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy("pos")
     ev = F.col("ev")
     step = F.when(ev == name, 1).when(ev == "/" + name, -1).otherwise(0)
-    rows = rows.select("*", step.alias("step"), F.sum(step).over(M._upto(w)).alias("s"))
-    floor = F.least(F.coalesce(F.min("s").over(M._before(w)), F.lit(0)), F.lit(0))
+    rows = rows.select("*", step.alias("step"), F.sum(step).over(_upto(w)).alias("s"))
+    floor = F.least(F.coalesce(F.min("s").over(_before(w)), F.lit(0)), F.lit(0))
     rows = rows.select("*", (F.col("s") - floor).alias("d"), F.max("at").over(
-        Window.partitionBy(*keys)).alias("page_end"), F.count_if(ev == name).over(M._upto(w)).alias("nth"))
+        Window.partitionBy(*keys)).alias("page_end"), F.count_if(ev == name).over(_upto(w)).alias("nth"))
     rows = rows.withColumn("depth", F.when(F.col("step") == 1, F.col("d")).when(
         (F.col("step") == -1) & (F.col("d") >= 0), F.col("d") + 1))
     v = Window.partitionBy(*keys, "depth").orderBy("pos")
@@ -212,7 +220,7 @@ def emphasis_spans(pages: DataFrame, keys=("page_id",), html="html") -> DataFram
     context = M._context(_visible_events(pages, keys, html), keys)
     back = Window.partitionBy(*keys).orderBy(F.col("pos").desc())
     context = context.withColumn(
-        "segment_at", F.last(F.when(F.col("breaks"), F.col("at")), True).over(M._before(back)))
+        "segment_at", F.last(F.when(F.col("breaks"), F.col("at")), True).over(_before(back)))
     rows = M._inline(context, keys)
     v = Window.partitionBy(*keys, "g_seg", "g_kind", "level").orderBy("pos")
     rows = rows.withColumn("next_at", F.lead("at").over(v))
