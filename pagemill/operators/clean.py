@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pagemill.fixed import STRIP_MODES, TAG_MARK
+from pagemill.fixed import HIT_MARK, STRIP_MODES, TAG_MARK
 from pagemill.functions import html as H
 from pagemill.functions.entities import decode_entities, entity_pieces, entity_table
 from pagemill.functions.text import (
@@ -65,7 +65,7 @@ def strip_tags(html: Column) -> Column:
             .otherwise(TAG_MARK)
         )
 
-    joined = F.array_join(F.transform(H.token_array(drop_marks(html)), render), "")
+    joined = F.array_join(F.transform(H.token_array(drop_marks(html, HIT_MARK)), render), "")
     spaced = F.regexp_replace(joined, _SPACE_AT_TAGS, " ")
     return collapse_lines(F.replace(spaced, F.lit(TAG_MARK), F.lit("")))
 

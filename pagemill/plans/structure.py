@@ -116,6 +116,7 @@ def q_emphasis(spark, folder):
 
 
 def _rich_markdown_sql():
+    # The line break between two rows is page text before the table; a single one ends the line only.
     item = f"case when {one_line('x')} = '' then '1.' else '1. ' || {one_line('x')} end"
     row = f"case when {one_line('x')} = '' then '| ' || i || ' | |' else '| ' || i || ' | ' || {one_line('x')} || ' |' end"
     fold = Q.sub("text", "\\n{3,}", "chr(10)||chr(10)")
@@ -124,7 +125,7 @@ def _rich_markdown_sql():
 select doc_id, '# Document ' || doc_id || '{nl}{nl}## ' || lang || ' *from* ' || source || '{nl}{nl}```{nl}' || {fold} || '{nl}```{nl}{nl}> '
   || {one_line("string_split(text, chr(10))[1] || '> Inner ' || doc_id")} || '{nl}{nl}'
   || array_to_string(list_transform(string_split(text, chr(10)), lambda x: {item}), chr(10) || chr(10)) || '{nl}{nl}- Top{nl}{nl}- Sub{nl}{nl}'
-  || 'Lines of ' || doc_id || '{nl}{nl}| no | line |{nl}| --- | --- |{nl}'
+  || 'Lines of ' || doc_id || '{nl}' || case when len(string_split(text, chr(10))) = 2 then '' else chr(10) end || '| no | line |{nl}| --- | --- |{nl}'
   || array_to_string(list_transform(string_split(text, chr(10)), lambda x, i: {row}), chr(10)) || '{nl}'
   || 'Image ![\\[' || lang || '\\] ' || source || '](/i/' || doc_id || '.png){nl}{nl}![P ' || source || '](/l/' || doc_id || '.jpg)'
   || '![F](/f/' || doc_id || '.png){nl}*Fig *no* ' || doc_id || '*{nl}{nl}> **More ' || doc_id || '**{nl}> Body ' || source || '{nl}{nl}'
