@@ -2,7 +2,7 @@
 
 
 def _load():
-    from pagemill.plans import cleaning, searching, structure, web  # noqa: F401
+    from pagemill.plans import cleaning, limiting, searching, structure, web  # noqa: F401
 
 
 def all_queries():
