@@ -22,8 +22,8 @@ def _replay_sql(columns, key="user_id"):
     cap, cost = MAX * WINDOW, WINDOW
     return f"""
 with recursive e as (
-  select {key} as key, event_id as request, epoch_ms(ts)::bigint as ms,
-    row_number() over (partition by {key} order by epoch_ms(ts), event_id) as n from events),
+  select {key} as key, event_id as request, (epoch_us(ts) // 1000)::bigint as ms,
+    row_number() over (partition by {key} order by epoch_us(ts) // 1000, event_id) as n from events),
 r as (
   select key, request, ms, n, true as admitted, {cap - cost}::bigint as tokens_left from e where n = 1
   union all
