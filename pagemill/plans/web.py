@@ -7,7 +7,7 @@ from pagemill.operators import requests as rq, responses as rs
 from pagemill.operators.clean import resolve_strip
 from pagemill.plans import sql as Q
 from pagemill.plans.registry import query
-from pagemill.session import table
+from pagemill.session import spread, table
 from pagemill.sources.bodies import body_sink, body_source, scratch_folder
 from pagemill.sources.responses import response_headers, response_log
 
@@ -33,7 +33,7 @@ def q_response_headers(spark, folder):
 def request_table(spark, folder):
     """A crawl frontier derived from the event log: one request per event."""
     kind = F.col("event_type")
-    return table(spark, folder, "events").select(
+    return spread(table(spark, folder, "events", "event_id", "user_id", "event_type", "value", "props")).select(
         "event_id",
         F.when(kind == "error", F.concat(F.lit("http://10.0.0."), F.col("user_id") % 256, F.lit("/x")))
         .otherwise(F.concat(F.lit("https://api.example.net/users/"), "user_id")).alias("url"),
@@ -177,7 +177,7 @@ def _spark_text(expr):
 
 def _url_variants(spark, folder):
     structs = ", ".join(f"struct('{k}' as variant, {_spark_text(u)} as url)" for k, (u, _) in _VARIANTS.items())
-    return table(spark, folder, "pages", "page_id", "url").select(
+    return spread(table(spark, folder, "pages", "page_id", "url")).select(
         "page_id", F.explode(F.expr(f"array({structs})")).alias("v")).select("page_id", "v.*")
 
 

@@ -75,6 +75,6 @@ def test_rate_limit_with_a_hot_key(spark):
 def test_hot_key_is_cut_into_runs(spark):
     """One key with quiet gaps: its runs are separate groups, and the counts are combined first."""
     log = spark.range(1000).select(
-        F.lit(1).alias("key"), (F.col("id") % 10 * 100_000 + F.col("id") // 100).cast("bigint").alias("ms"), F.col("id").alias("request"))
+        F.lit(1).alias("key"), F.expr("id % 10 * 100000 + id div 100").alias("ms"), F.col("id").alias("request"))
     decided = throttle.rate_limit_replay(log, "key", "ms", "request", 2, 1000)
     assert decided.where("admitted").count() == 20
