@@ -106,8 +106,9 @@ def q_body_sink(spark, folder):
 
 
 @query("body_source", """
-select o.o_orderkey as order_key, b.item_id as item_id, strlen(b.text) as body_bytes, md5(b.text) as digest
-from orders o join benchmark b on o.o_custkey % 1000 = b.item_id""")
+select o.o_orderkey as order_key, strlen(b.text) as body_bytes, md5(b.text) as digest,
+  case when b.item_id is null then 'Failed to read body file: item-' || (o.o_custkey % 1000) end as error
+from orders o left join benchmark b on o.o_custkey % 1000 = b.item_id""")
 def q_body_source(spark, folder):
     """Orders name a body file; the files hold the benchmark texts."""
     path = scratch_folder(spark, "files")
@@ -118,11 +119,11 @@ def q_body_source(spark, folder):
     files = files.withColumn("body", F.regexp_replace("body", r"\n\z", ""))
     requests = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_key"),
-        (F.col("o_custkey") % 1000).alias("item_id"),
         F.concat(F.lit("item-"), F.col("o_custkey") % 1000).alias("body_file"))
-    return requests.join(files, "body_file").select(
-        "order_key", "item_id", F.octet_length("body").cast("bigint").alias("body_bytes"),
-        F.md5(F.encode("body", "UTF-8")).alias("digest"))
+    return requests.join(files, "body_file", "left").select(
+        "order_key", F.octet_length("body").cast("bigint").alias("body_bytes"),
+        F.md5(F.encode("body", "UTF-8")).alias("digest"),
+        F.when(F.col("body").isNull(), F.concat(F.lit("Failed to read body file: "), "body_file")).alias("error"))
 
 
 # ---- URL checks ---------------------------------------------------------------------
