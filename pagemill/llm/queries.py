@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from pagemill.llm import bpe
+from pagemill.llm import bpe, decontamination, licenses, simhash, substring
 
 QUERIES, SQL = {}, {}
 
@@ -25,3 +25,23 @@ def query(name, sql=None):
 def byte_bpe(spark, folder):
     return bpe.digests(_table(spark, folder, "documents"),
                        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op3_simhash_near_dedup")
+def simhash_near_dedup(spark, folder):
+    return simhash.report(_table(spark, folder, "documents"))
+
+
+@query("op7_substring_dedup", substring.SQL)
+def substring_dedup(spark, folder):
+    return substring.report(_table(spark, folder, "documents"))
+
+
+@query("op9_license_scan", licenses.SQL)
+def license_scan(spark, folder):
+    return licenses.license_matches(_table(spark, folder, "documents"))
+
+
+@query("op10_decontamination", decontamination.SQL)
+def benchmark_decontamination(spark, folder):
+    return decontamination.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
