@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from pagemill.llm import bpe, decontamination, licenses, simhash, substring
+from pagemill.llm import bpe, decontamination, licenses, lines, simhash, substring
 
 QUERIES, SQL = {}, {}
 
@@ -45,3 +45,8 @@ def license_scan(spark, folder):
 @query("op10_decontamination", decontamination.SQL)
 def benchmark_decontamination(spark, folder):
     return decontamination.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+@query("op6_line_dedup", lines.SQL)
+def line_dedup(spark, folder):
+    return lines.report(_table(spark, folder, "documents"))
