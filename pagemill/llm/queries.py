@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from pagemill.llm import bpe, decontamination, licenses, lines, simhash, substring
+from pagemill.llm import bpe, decontamination, licenses, lines, simhash, substring, toxicity
 
 QUERIES, SQL = {}, {}
 
@@ -50,3 +50,8 @@ def benchmark_decontamination(spark, folder):
 @query("op6_line_dedup", lines.SQL)
 def line_dedup(spark, folder):
     return lines.report(_table(spark, folder, "documents"))
+
+
+@query("op4_toxicity")
+def toxicity_scores(spark, folder):
+    return toxicity.report(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
