@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from pagemill.llm import bpe, decontamination, licenses, lines, simhash, substring, toxicity
+from pagemill.llm import bpe, decontamination, licenses, lines, quality, simhash, substring, toxicity
 
 QUERIES, SQL = {}, {}
 
@@ -55,3 +55,8 @@ def line_dedup(spark, folder):
 @query("op4_toxicity")
 def toxicity_scores(spark, folder):
     return toxicity.report(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@query("op1_quality")
+def quality_scores(spark, folder):
+    return quality.classify(_table(spark, folder, "documents"))
