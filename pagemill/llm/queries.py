@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from pagemill.llm import bpe, decontamination, licenses, lines, quality, simhash, substring, toxicity
+from pagemill.llm import bpe, decontamination, language_model, licenses, lines, quality, simhash, substring, toxicity
 
 QUERIES, SQL = {}, {}
 
@@ -60,3 +60,8 @@ def toxicity_scores(spark, folder):
 @query("op1_quality")
 def quality_scores(spark, folder):
     return quality.classify(_table(spark, folder, "documents"))
+
+
+@query("op5_lm_scoring")
+def lm_scoring(spark, folder):
+    return language_model.report(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
