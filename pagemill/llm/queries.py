@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from pagemill.llm import bpe, decontamination, language_model, licenses, lines, quality, simhash, substring, toxicity
+from pagemill.llm import bpe, decontamination, graphs, language_model, licenses, lines, quality, simhash, substring, toxicity
 
 QUERIES, SQL = {}, {}
 
@@ -65,3 +65,8 @@ def quality_scores(spark, folder):
 @query("op5_lm_scoring")
 def lm_scoring(spark, folder):
     return language_model.report(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@query("op8_embedding_near_dedup")
+def embedding_near_dedup(spark, folder):
+    return graphs.near_duplicates(_table(spark, folder, "embeddings"))
