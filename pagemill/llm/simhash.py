@@ -108,10 +108,11 @@ def report(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of docs whose doc_id is the smallest of its component, with the columns of docs.
 
-    Rows with a null doc_id cannot be told apart and stay. Repeated rows of the doc_id that stays
-    become one row.
+    Rows with a null doc_id stay, those of one text as one row. Repeated rows of the doc_id that stays become one row.
     """
     found = near_duplicates(docs, words=words, max_bits=max_bits)
     gone = found.where("component_id != doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null"))
+    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    # Of rows without doc_id the text is the key, so that they are neither one group nor one task.
+    key = [F.coalesce("doc_id", F.lit(0)).alias("_id"), F.when(F.col("doc_id").isNull(), F.xxhash64("text")).alias("_row")]
+    return kept.select("*", *key).dropDuplicates(["_id", "_row"]).select(docs.columns)
