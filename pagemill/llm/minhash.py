@@ -93,8 +93,8 @@ def _runs(size: int) -> Column:
 
 
 def _small_bands(hashed: DataFrame, keys: list[str], levels: list[int]) -> DataFrame:
-    """keys, level, value of every window of the levels (1 to 4)."""
-    return hashed.select(*keys, F.explode(F.concat(*[_runs(n) for n in levels])).alias("b")).select(*keys, "b.*").distinct()
+    """keys, level, value of every window of the levels (1 to 4). They go straight into the join: nothing is shuffled."""
+    return hashed.select(*keys, F.explode(F.concat(*[_runs(n) for n in levels])).alias("b")).select(*keys, "b.*")
 
 
 def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -115,7 +115,7 @@ def _retrieved(large: DataFrame, short: DataFrame, on: list[str], asked: DataFra
 def by_small_windows(own: DataFrame, asked: DataFrame, size: int) -> DataFrame:
     """Candidates doc_id, version, item."""
     hashed = _hashes(asked, ["item"], "item_text", size).withColumn("t", F.least(F.size(F.array_distinct("h")), F.lit(_SMALL)))
-    short = _small_bands(hashed, ["item", "t"], list(range(1, _SMALL + 1))).where("level = t").drop("t")
+    short = _small_bands(hashed, ["item", "t"], list(range(1, _SMALL + 1))).where("level = t").drop("t").distinct()
     levels = sorted(r["level"] for r in short.select("level").distinct().collect())  # 1 to 4
     if not levels:
         return own.join(asked.select("item", "item_text"), F.col("text") == F.col("item_text")).where("false").select(*_KEYS, "item")
