@@ -79,8 +79,14 @@ def test_entities(spark, text, want):
     assert one(spark, decode_entities, text) == want
 
 
-def test_entity_names():
+def test_entity_names(spark):
+    """All names in one text: standard ones as the HTML standard has them, the others as listed."""
     assert len(ENTITIES) == 287
+    names = sorted(ENTITIES)
+    got = one(spark, decode_entities, "|".join(f"&{n};" for n in names)).split("|")
+    assert dict(zip(names, got)) == ENTITIES
+    for name, value in {"Uogonek": "Ű", "uogonek": "ű", "Udblac": "Ų", "udblac": "ų", "Ycirc": "Ŵ", "ycirc": "ŵ"}.items():
+        assert ENTITIES[name] == value
 
 
 def test_whitespace(spark):
