@@ -15,7 +15,6 @@ others. The blocks' texts are shuffled once; the three steps read that same exch
 """
 
 import math
-from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
@@ -123,24 +122,26 @@ def _candidates(hashes: np.ndarray, masks: pd.DataFrame, bits: int, slice_bits:
     """Numbers of the windows that the merged sketch estimates at two or more."""
     chosen = np.ones(len(hashes), bool)
     for row in range(DEPTH):
-        own = _cells(hashes, row, bits)
-        cells = np.unique(own)
-        full = cells[_mask(masks, row, np.diff(_sliced(cells, bits, slice_bits)))]
-        chosen &= _among(own, full)
+        cells, number = np.unique(_cells(hashes, row, bits), return_inverse=True)
+        chosen &= _mask(masks, row, np.diff(_sliced(cells, bits, slice_bits)))[number]
     return np.flatnonzero(chosen)
 
 
 def _keys(hashes: np.ndarray, ids: np.ndarray):
     """Different hashes in order, the number of each hash among them, the smallest id of each."""
-    order = np.lexsort((hashes[:, 1], hashes[:, 0]))
+    if not len(hashes):
+        return hashes, np.zeros(0, np.int64), ids
+    order = np.argsort(hashes[:, 0], kind="stable")
     ranked = hashes[order]
     new = np.ones(len(ranked), bool)
-    new[1:] = (ranked[1:] != ranked[:-1]).any(axis=1)
+    new[1:] = ranked[1:, 0] != ranked[:-1, 0]
+    if (ranked[1:, 1] != ranked[:-1, 1])[~new[1:]].any():  # equal in the first half only
+        order = np.lexsort((hashes[:, 1], hashes[:, 0]))
+        ranked = hashes[order]
+        new[1:] = (ranked[1:] != ranked[:-1]).any(axis=1)
     number = np.empty(len(ranked), np.int64)
     number[order] = np.cumsum(new) - 1
-    least = np.full(int(new.sum()), np.iinfo(np.int64).max)
-    np.minimum.at(least, number, ids)
-    return ranked[new], number, least
+    return ranked[new], number, np.minimum.reduceat(ids[order], np.flatnonzero(new))
 
 
 def _repeated(rows: pd.DataFrame, masks: pd.DataFrame, size: int, bits: int, slice_bits: int):
