@@ -35,7 +35,7 @@ def labellers(text: Column, words: Column) -> dict[str, Column]:
     capitals = F.length(F.regexp_replace(text, r"[^\p{Lu}]+", ""))
     symbols = chars - F.length(F.translate(text, "#$%&*|<>{}[]=^~_\\", ""))
     marks = chars - F.length(F.translate(text, ".!?", ""))
-    shouts = chars - F.length(F.translate(text, "!", ""))
+    shouts = chars - F.length(F.replace(text, F.lit("!"), F.lit("")))
     runs = F.regexp_count(text, F.lit(r"[#$%&*=_~|^]{3,}|\s[|*#]\s"))
     shouted = F.regexp_count(text, F.lit(r"\b\p{Lu}{2,}\b"))
     echoes = F.regexp_count(text, F.lit(r"(?<!\S)(\S+)\s\1(?!\S)"))
@@ -123,10 +123,12 @@ def train(texts: list[bytes], target: np.ndarray) -> np.ndarray:
     w = np.zeros((1 << BUCKETS_LOG2) + 1)
     if not texts:
         return w
-    x = np.stack([features(t) for t in texts])
+    x = np.empty((len(texts), 1 << BUCKETS_LOG2), np.float32)
+    for row, text in zip(x, texts):
+        row[:] = features(text)
     speed = np.zeros_like(w)
     for _ in range(STEPS):
-        miss = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30))) - target
+        miss = 1 / (1 + np.exp(-np.clip(x @ w[:-1].astype(np.float32) + w[-1], -30, 30))) - target
         slope = np.append(x.T @ miss.astype(np.float32), miss.sum()) / len(texts) + DECAY * w
         speed = 0.9 * speed - RATE * slope * np.append(np.full(len(w) - 1, 100.0), 1.0)
         w += speed
@@ -135,16 +137,19 @@ def train(texts: list[bytes], target: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame) -> tuple[Labels, np.ndarray]:
     """Labels from all of docs (doc_id, text); the scorer's weights from the bounded sample."""
-    patterns, names = voted(docs.select("doc_id", "text"))
+    own = docs.select("doc_id", "text")
+    patterns, names = voted(own)
     # At most 3^11 rows.
     counts = {r["pattern"]: r["count"] for r in patterns.groupBy("pattern").count().collect()}
     labels = expectation_maximisation(counts, names)
     rank = F.xxhash64("doc_id", F.length("text"))
     some = (docs.where(F.length("text").between(1, SAMPLE_CHARS)).select("doc_id", rank.alias("rank"))
             .orderBy("rank", "doc_id").limit(SAMPLE_ROWS))
-    chosen = patterns.where(F.length("text").between(1, SAMPLE_CHARS)).join(F.broadcast(some.select("doc_id").distinct()), "doc_id")
-    rows = (chosen.groupBy("doc_id").agg(F.min(F.struct("text", "pattern")).alias("r"))
-            .orderBy("doc_id").limit(SAMPLE_ROWS).select("r.text", "r.pattern").collect())
+    # Votes are taken of the chosen texts alone.
+    chosen = (own.where(F.length("text").between(1, SAMPLE_CHARS))
+              .join(F.broadcast(some.select("doc_id").distinct()), "doc_id")
+              .groupBy("doc_id").agg(F.min("text").alias("text")))
+    rows = voted(chosen)[0].orderBy("doc_id").limit(SAMPLE_ROWS).select("text", "pattern").collect()
     target = np.array([labels.posterior[r["pattern"]] for r in rows])
     return labels, train([r["text"].encode() for r in rows], target)
 
