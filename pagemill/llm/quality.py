@@ -9,6 +9,7 @@ every document by its whole text.
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +29,19 @@ def _vote(value: Column, good: tuple[float, float], bad: tuple[float, float]) ->
     return (F.when(value.between(*good), 1).when((value < bad[0]) | (value > bad[1]), 0).otherwise(_ABSTAIN))
 
 
+def _without(text: Column, characters: str) -> Column:
+    """text without these; for a few characters faster than translate."""
+    return reduce(lambda left, c: F.replace(left, F.lit(c), F.lit("")), characters, text)
+
+
 def labellers(text: Column, words: Column) -> dict[str, Column]:
     """Name to vote. words: the text's words."""
     n, chars = F.size(words), F.length(text)
     letters = F.length(F.regexp_replace(text, r"[^\p{L}]+", ""))
     capitals = F.length(F.regexp_replace(text, r"[^\p{Lu}]+", ""))
-    symbols = chars - F.length(F.translate(text, "#$%&*|<>{}[]=^~_\\", ""))
-    marks = chars - F.length(F.translate(text, ".!?", ""))
-    shouts = chars - F.length(F.replace(text, F.lit("!"), F.lit("")))
+    symbols = chars - F.length(F.regexp_replace(text, r"[#$%&*|<>{}\[\]=^~_\\]+", ""))
+    marks = chars - F.length(_without(text, ".!?"))
+    shouts = chars - F.length(_without(text, "!"))
     runs = F.regexp_count(text, F.lit(r"[#$%&*=_~|^]{3,}|\s[|*#]\s"))
     shouted = F.regexp_count(text, F.lit(r"\b\p{Lu}{2,}\b"))
     echoes = F.regexp_count(text, F.lit(r"(?<!\S)(\S+)\s\1(?!\S)"))
