@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pagemill.fixed import (
-    ACCEPT, BODY_EXTENSIONS, DEFAULT_BODY_TYPE, MAX_TIMEOUT_MS, MIN_TIMEOUT_MS, USER_AGENT)
+    DEFAULT_TIMEOUT_S, ACCEPT, BODY_EXTENSIONS, DEFAULT_BODY_TYPE, MAX_TIMEOUT_MS, MIN_TIMEOUT_MS, USER_AGENT)
 from pagemill.functions.urls import validate_url
 
 
@@ -24,7 +24,9 @@ def parse_headers(text: Column) -> Column:
 
 
 def timeout_ms(seconds: Column) -> Column:
-    return F.least(F.lit(MAX_TIMEOUT_MS), F.greatest(F.lit(MIN_TIMEOUT_MS), seconds * 1000))
+    """Null gives the default."""
+    ms = F.coalesce(seconds, F.lit(DEFAULT_TIMEOUT_S)).cast("double") * 1000
+    return F.least(F.lit(MAX_TIMEOUT_MS), F.greatest(F.lit(MIN_TIMEOUT_MS), ms)).cast("int")
 
 
 def sends_body(method: Column, body: Column, tool: str) -> Column:

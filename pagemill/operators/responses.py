@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pagemill.fixed import LINE_TRIM
 from pagemill.functions.text import let
 from pagemill.functions.urls import validate_url
 from pagemill.sources.responses import header
@@ -68,4 +69,4 @@ def size_limit_error(body: Column, limit: Column) -> Column:
 
 def valid_terms(terms: DataFrame, column="term") -> DataFrame:
     """Search terms must hold something but blanks."""
-    return terms.where(F.col(column).rlike(r"[^\s\x{feff}\x{a0}]"))
+    return terms.where(F.trim(F.col(column), F.lit(LINE_TRIM + "\n")) != "")

@@ -52,8 +52,9 @@ def rate_limit_replay(log: DataFrame, key: str, ms: str, request: str,
     Requests of a key count in order of (ms, request). tokens_left is in 1/window_ms tokens
     after the request; wait_ms is the time until a token is there, for a refused request.
     """
-    key_type = log.schema[key].dataType.simpleString()
-    counts = log.groupBy(F.col(key).alias("key"), F.col(ms).alias("ms")).agg(F.count("*").alias("n"))
+    # The key as text that is never null: rows without a key are one more key, and large numbers stay exact in pandas.
+    text = F.to_json(F.struct(F.col(key).alias("k")))
+    counts = log.groupBy(text.alias("key"), F.col(ms).alias("ms")).agg(F.count("*").alias("n"))
     counts = counts.withColumn("slot", F.floor(F.col("ms") / window_ms).cast("bigint"))
     slots = counts.select("key", "slot").distinct()
     w = Window.partitionBy("key").orderBy("slot")
@@ -64,11 +65,11 @@ def rate_limit_replay(log: DataFrame, key: str, ms: str, request: str,
         counts.join(runs, ["key", "slot"]).select("key", "island", "ms", "n")
         .repartition("key", "island").sortWithinPartitions("key", "island", "ms"))
     decided = ordered.mapInPandas(
-        _replay(max_requests, window_ms), f"key {key_type}, ms bigint, before bigint, taken bigint")
+        _replay(max_requests, window_ms), "key string, ms bigint, before bigint, taken bigint")
     rank = F.row_number().over(Window.partitionBy(key, ms).orderBy(request))
-    ranked = log.withColumn("_rank", rank)
+    ranked = log.withColumn("_rank", rank).withColumn("_key", text)
     joined = ranked.join(decided.select(
-        F.col("key").alias(key), F.col("ms").alias(ms), "before", "taken"), [key, ms])
+        F.col("key").alias("_key"), F.col("ms").alias(ms), "before", "taken"), ["_key", ms])
     left = F.col("before") - F.least(F.col("_rank"), F.col("taken")) * window_ms
     admitted = F.col("_rank") <= F.col("taken")
     return joined.select(

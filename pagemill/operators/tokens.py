@@ -7,24 +7,30 @@ from pagemill.functions import html as H
 from pagemill.functions.entities import decode_entities
 
 
-def _split(token: Column, raw: bool) -> Column:
-    return F.struct(token.alias("token"), F.lit(raw).alias("raw"))
+def _split(token: Column, raw: bool, shown: Column | None) -> Column:
+    more = [] if shown is None else [shown.alias("shown")]
+    return F.struct(token.alias("token"), F.lit(raw).alias("raw"), *more)
 
 
-def token_pieces(html: Column, tokens: Column = None) -> Column:
-    """array<struct<token,raw>>; a raw-text element gives its open tag, content and end tag."""
+def token_pieces(html: Column, tokens: Column = None, with_shown=False) -> Column:
+    """array<struct<token,raw>>; a raw-text element gives its open tag, content and end tag.
+
+    with_shown adds a field shown: the piece is text that a reader sees; of raw-text elements that is textarea content alone.
+    """
     tokens = H.token_array(html) if tokens is None else tokens
 
     def expand(token):
+        tag, content, text = (
+            (F.lit(False), token.rlike(r"(?i)\A<textarea"), H.is_text(token)) if with_shown else (None, None, None))
         raw = F.filter(
             F.array(
-                _split(H.raw_open(token), False),
-                _split(H.raw_content(token), True),
-                _split(H.raw_close(token), False),
+                _split(H.raw_open(token), False, tag),
+                _split(H.raw_content(token), True, content),
+                _split(H.raw_close(token), False, tag),
             ),
             lambda piece: piece["token"] != "",
         )
-        return F.when(H.is_raw_element(token), raw).otherwise(F.array(_split(token, False)))
+        return F.when(H.is_raw_element(token), raw).otherwise(F.array(_split(token, False, text)))
 
     return F.flatten(F.transform(tokens, expand))
 

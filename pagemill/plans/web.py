@@ -49,7 +49,7 @@ def request_table(spark, folder):
 
 _UA = "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/144.0.0.0 Safari/537.36"
 _BLOCKED = "'Access to internal/private address \"10.0.0.' || (user_id % 256) || '\" is blocked'"
-_TIMEOUT = "least(120000, greatest(1000, trunc(value)::bigint * 1000))"
+_TIMEOUT = "least(120000, greatest(1000, coalesce(trunc(value)::bigint, 30) * 1000))"
 _DEFAULT_TYPE = "Content-Type=text/plain; charset=utf-8"
 
 

@@ -78,3 +78,23 @@ def test_hot_key_is_cut_into_runs(spark):
         F.lit(1).alias("key"), F.expr("id % 10 * 100000 + id div 100").alias("ms"), F.col("id").alias("request"))
     decided = throttle.rate_limit_replay(log, "key", "ms", "request", 2, 1000)
     assert decided.where("admitted").count() == 20
+
+
+def test_requests_without_key_are_one_key(spark):
+    log = spark.createDataFrame(
+        [(None, 1, 10), (None, 2, 11), (2**53 + 1, 3, 10), (2**53, 4, 10)], "key bigint, request int, ms bigint")
+    rows = throttle.rate_limit_replay(log, "key", "ms", "request", 1, 1000).collect()
+    assert sorted((r.request, r.key, r.admitted) for r in rows) == [
+        (1, None, True), (2, None, False), (3, 2**53 + 1, True), (4, 2**53, True)]
+
+
+def test_terms_of_wide_blanks_are_not_valid(spark):
+    from pagemill.operators.responses import valid_terms
+    terms = spark.createDataFrame([("\u2003",), ("\u00a0\n",), ("",), (None,), ("\u2003a",)], "term string")
+    assert [r.term for r in valid_terms(terms).collect()] == ["\u2003a"]
+
+
+def test_timeout_without_a_value_and_of_a_large_one(spark):
+    from pagemill.operators.requests import timeout_ms
+    rows = spark.createDataFrame([(None,), (2_000_000_000,), (0,), (45,)], "s int").select(timeout_ms(F.col("s")).alias("t"))
+    assert [r.t for r in rows.collect()] == [30_000, 120_000, 1_000, 45_000]
