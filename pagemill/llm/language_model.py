@@ -1,37 +1,47 @@
 """Cross-entropy difference: a target and a background bigram model over one vocabulary score each document.
 
-The vocabulary is counted over all documents: the most frequent words by number of occurrences, a fixed
-number of them, as any language model has; other words are one token of their own. Counting
-combines in each task, and what is shuffled grows with the corpus, as do the counts of word pairs. Both models are bigrams
-interpolated with unigrams and a uniform share, with the same weights and vocabulary. A token's loss
-difference is the background model's log-probability minus the target model's; a document's score is the
-mean over its tokens, so lower means nearer to the target.
+The vocabulary is all words of all documents, however rare and however long. Both models are bigrams interpolated with
+unigrams and a uniform share, with the same weights and vocabulary. A token's loss difference is the background model's
+log-probability minus the target model's; a document's score is the mean over its tokens, so lower means nearer to the
+target.
+
+The counts are never in one place. Documents are packed in chunks; a chunk counts its pairs, first tokens and second
+tokens by hashed keys and deals the different ones to buckets of the key range. A bucket adds up each key over all chunks
+and gives every chunk the sums of its own keys, in its own order, with which the chunk scores its documents. A key has one
+entry per chunk at most, so a common pair is not a hot key. The driver gets three sums: different words, tokens, and
+tokens of target documents.
 """
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Tokens of the vocabulary, one of them for all other words. The models have its square of cells at most, which
-#: bounds what comes to the driver (100 MB of counts) and what is broadcast (50 MB of differences).
+from pagemill.llm.shared import written
+
+#: The uniform share is spread over all different tokens, and over so many at least. An explicit size is this at most.
 VOCABULARY = 2_048
 #: Shares of the bigram and unigram estimates; the rest is uniform.
 BIGRAM, UNIGRAM = 0.7, 0.25
-#: Longer words never enter the vocabulary.
+#: Longer words never enter a vocabulary of an explicit size.
 WORD_CHARS = 64
-_BATCH_PAIRS = 1 << 20
+#: Characters of a chunk (one document more at most), characters per bucket, least number of buckets.
+CHUNK_CHARS, BUCKET_CHARS, LEAST_BUCKETS = 1 << 21, 1 << 24, 64
+_PAIR, _AFTER, _ONE = range(3)
+_START = xxhash.xxh64_intdigest(b"")  # no word is empty
 
 
 def words(text: str) -> list[str]:
     return text.split()
 
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> list[str]:
+def vocabulary(docs: DataFrame, size: int) -> list[str]:
     """The size - 1 most frequent words of the column text, ties by the word."""
     word = F.explode(F.split(F.coalesce("text", F.lit("")), r"(?U)\s+")).alias("word")
     rows = (docs.select(word).where(F.length("word").between(1, WORD_CHARS)).groupBy("word").count()
@@ -39,115 +49,145 @@ def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> list[str]:
     return [r["word"] for r in rows]
 
 
-class Tokens(dict):
-    """Number of each word; 0 for all words that are not in the vocabulary."""
-
-    def __init__(self, vocabulary: list[str]):
-        super().__init__({w: i + 1 for i, w in enumerate(vocabulary)})
+def _key(kind: int, second: np.ndarray, first: np.ndarray | int = 0) -> np.ndarray:
+    """62 bits of a hash of the hashed words, and the kind in the lowest two bits."""
+    x = first * np.uint64(0x9E3779B97F4A7C15) + second + np.uint64(kind + 1) * np.uint64(0xD1B54A32D192ED03)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))) & ~np.uint64(3) | np.uint64(kind)
+
+
+class Tally:
+    """Sorted keys of a chunk with their counts in all documents and in target documents; sizes: tokens of each document;
+    at: numbers of each token's three keys. known: the words of an explicit vocabulary, others are the token that also
+    stands before the first."""
+
+    def __init__(self, texts: list[str | None], targets: list[bool | None], known: set[str] | None = None):
+        split = [words(t or "") for t in texts]
+        self.sizes = np.fromiter(map(len, split), np.int64, len(split))
+        encoded = pa.array([w for own in split for w in own], pa.large_string()).dictionary_encode()
+        different = encoded.dictionary.to_pylist()
+        hashes = np.array([_START, *(_START if known is not None and w not in known else xxhash.xxh64_intdigest(w.encode()) for w in different)], np.uint64)
+        second = encoded.indices.to_numpy().astype(np.int64) + 1
+        first = np.concatenate(([0], second[:-1]))[:len(second)]
+        first[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = 0
+        target = np.repeat(np.array([bool(t) for t in targets], bool), self.sizes)
+        each, self.at = [], []
+        for kind, keys in ((_PAIR, _key(_PAIR, hashes[second], hashes[first])), (_AFTER, _key(_AFTER, hashes)[first]), (_ONE, _key(_ONE, hashes)[second])):
+            own, at = np.unique(keys, return_inverse=True)
+            self.at.append(at + sum(len(x[0]) for x in each))
+            each.append((own, np.bincount(at, minlength=len(own)), np.bincount(at[target], minlength=len(own))))
+        keys, *counts = (np.concatenate(x) for x in zip(*each))
+        order = np.argsort(keys)
+        place = np.empty(len(keys), np.int64)
+        place[order] = np.arange(len(keys))
+        self.keys, self.counts, self.at = keys[order], np.stack(counts)[:, order], [place[x] for x in self.at]
+
+
+def _chunks(docs: DataFrame) -> DataFrame:
+    """chunk and arrays doc_id, target and text, of a row for each document."""
+
+    def packed(number: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        lists = [pa.ListArray.from_arrays([0, len(rows)], c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c) for c in rows.columns]
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *lists], names=["chunk", *rows.column_names])
 
-    def __missing__(self, word: str) -> int:
-        return 0
-
-    def pairs(self, text: str | None) -> np.ndarray:
-        """One number for each token and the one before it; the first token follows the token 0."""
-        own = words(text or "")
-        ids = np.fromiter(map(self.__getitem__, own), np.int64, len(own))
-        return np.concatenate(([0], ids[:-1])) * VOCABULARY + ids if len(ids) else ids
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, chars = TaskContext.get().partitionId() << 32, [], 0
+        for batch in batches:
+            start = 0
+            for k, text in enumerate(batch.column(2)):
+                chars += len(text.as_py() or "")
+                if chars >= CHUNK_CHARS:
+                    yield packed(number, [*held, batch.slice(start, k + 1 - start)])
+                    number, held, chars, start = number + 1, [], 0, k + 1
+            if start < batch.num_rows:
+                held.append(batch.slice(start))
+        if held:
+            yield packed(number, held)
+
+    own = docs.select("doc_id", "target", "text")
+    schema = T.StructType([T.StructField("chunk", T.LongType()), *(T.StructField(f.name, T.ArrayType(f.dataType)) for f in own.schema)])
+    return own.mapInArrow(run, schema)
 
 
-def pair_counts(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """pair, background, target: occurrences in all documents, and in those with `target` true."""
+def _dealt(chunks: DataFrame, buckets: int, known: set[str] | None) -> DataFrame:
+    """chunk, bucket, keys, counts: what each chunk has in a bucket of the key range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(vocabulary)
-        sums = np.zeros((2, 0), np.int64)
-        cells, held, waiting = np.empty(0, np.int64), [], 0
-
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            keys = np.concatenate([cells, *[h[0] for h in held]])
-            weight = np.concatenate([sums, *[h[1] for h in held]], axis=1)
-            every, number = np.unique(keys, return_inverse=True)
-            return every, np.stack([np.bincount(number, w, len(every)).astype(np.int64) for w in weight])
-
         for batch in batches:
-            for text, target in zip(batch.column(0), batch.column(1)):
-                pairs = tokens.pairs(text.as_py())
-                if len(pairs):
-                    ones = np.ones((2, len(pairs)), np.int64)
-                    ones[1] *= bool(target.as_py())
-                    held.append((pairs, ones))
-                    waiting += len(pairs)
-                if waiting >= _BATCH_PAIRS:
-                    cells, sums = merged()
-                    held, waiting = [], 0
-        cells, sums = merged()
-        for k in range(0, len(cells), 10_000):
-            yield pa.RecordBatch.from_arrays([pa.array(x[k:k + 10_000]) for x in (cells, *sums)], names=["pair", "background", "target"])
-
-    parts = docs.select("text", "target").mapInArrow(run, "pair long, background long, target long")
-    return parts.groupBy("pair").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-
-
-def _log_share(pair: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-probability of each pair seen, and of each second token after a pair never seen, by first and second token:
-    a row for the first token's factor and one for the second's share."""
-    first, second = pair // VOCABULARY, pair % VOCABULARY
-    total = max(count.sum(), 1)
-    unigram = np.bincount(second, count, VOCABULARY) / total
-    base = UNIGRAM * unigram + (1 - UNIGRAM - BIGRAM) / VOCABULARY
-    after = np.bincount(first, count, VOCABULARY)
+            for chunk, targets, texts in zip(*batch.columns):
+                tally = Tally(texts.as_py(), targets.as_py(), known)
+                bucket = (tally.keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+                numbers, starts = np.unique(bucket, return_index=True)
+                ends = [*starts[1:], len(bucket)]
+                if len(numbers):
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([chunk.as_py()] * len(numbers), pa.int64()), pa.array(numbers.astype(np.int32)),
+                        pa.array([tally.keys[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                        pa.array([tally.counts[:, a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                    ], names=["chunk", "bucket", "keys", "counts"])
+
+    return chunks.select("chunk", "target", "text").mapInArrow(run, "chunk long, bucket int, keys binary, counts binary")
+
+
+def _added(rows: pa.Table) -> pa.Table:
+    """chunk, bucket, sums of its keys over all chunks; in the first row the bucket's different words and tokens."""
+    keys = [np.frombuffer(x, np.uint64) for x in rows["keys"].to_pylist()]
+    counts = np.concatenate([np.frombuffer(x, np.int64).reshape(2, -1) for x in rows["counts"].to_pylist()], axis=1)
+    every, at = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = np.zeros((2, len(every)), np.int64)
+    for own, count in zip(sums, counts):
+        np.add.at(own, at, count)
+    one = every & np.uint64(3) == _ONE
+    ends = np.cumsum([len(k) for k in keys])
+    whole = [[int(x)] + [0] * (len(keys) - 1) for x in (one.sum(), *sums[:, one].sum(axis=1))]
+    return pa.table({
+        "chunk": rows["chunk"], "bucket": rows["bucket"],
+        "sums": pa.array([sums[:, at[e - len(k):e]].tobytes() for k, e in zip(keys, ends)], pa.binary()),
+        **{name: pa.array(x, pa.int64()) for name, x in zip(("words", "background", "target"), whole)}})
+
+
+def _log_share(pair: np.ndarray, after: np.ndarray, one: np.ndarray, total: int, size: int) -> np.ndarray:
+    """Log-probability of tokens, by the counts of their pairs, first tokens and second tokens."""
+    base = UNIGRAM * one / max(total, 1) + (1 - UNIGRAM - BIGRAM) / size
     rest = np.where(after > 0, 1.0, 1 / (1 - BIGRAM))  # a first token never seen leaves all to the others
-    bigram = np.divide(count, after[first], out=np.zeros(len(pair)), where=after[first] > 0)
-    return np.log(base[second] * rest[first] + BIGRAM * bigram), np.stack((np.log(rest), np.log(base)))
-
+    return np.log(base * rest + BIGRAM * np.divide(pair, after, out=np.zeros(len(pair)), where=after > 0))
 
-def differences(counts: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted pairs with their loss difference (target loss minus background loss), and for pairs never seen
-    one addend for the first and one for the second token."""
-    counts = counts.sort_values("pair")
-    pair = counts["pair"].to_numpy(np.int64)
-    background, other = _log_share(pair, counts["background"].to_numpy(float))
-    target, other_target = _log_share(pair, counts["target"].to_numpy(float))
-    return pair, (background - target).astype(np.float32), (other - other_target).astype(np.float32)
 
-
-def score(docs: DataFrame, targets: DataFrame, size: int = VOCABULARY) -> DataFrame:
+def score(docs: DataFrame, targets: DataFrame, size: int | None = None) -> DataFrame:
     """doc_id, n_tokens, loss_difference: one row per row of docs (doc_id, text).
 
-    targets: doc_id of the target documents, part of docs. Words stand between white space. Null, empty and blank texts
-    have no tokens and a null score. Rows with a null doc_id count for the background and are scored. Repeated rows
-    count and are scored each. Without targets the target model is uniform. An empty table gives an empty table.
+    targets: doc_id of the target documents, part of docs. size: tokens of a smaller vocabulary, that of the most frequent
+    words, all other words one token; without it all words are in the vocabulary. Words stand between white space. Null,
+    empty and blank texts have no tokens and a null score. Rows with a null doc_id count for the background and are scored.
+    Repeated rows count and are scored each. Without targets the target model is uniform. An empty table gives an empty table.
     """
     own = docs.select("doc_id", "text")
-    if not 1 < size <= VOCABULARY:
-        raise ValueError(f"a vocabulary has 2 to {VOCABULARY} tokens")
-    vocab = vocabulary(own, size)
+    if size is not None and not 1 < size <= VOCABULARY:
+        raise ValueError(f"an explicit vocabulary has 2 to {VOCABULARY} tokens")
+    known = None if size is None else set(vocabulary(own, size))
     wanted = targets.select("doc_id").where("doc_id is not null").distinct().withColumn("target", F.lit(True))
-    marked = own.join(wanted, "doc_id", "left")
-    # At most size squared rows of three numbers, far fewer in practice.
-    pair, gain, other = differences(pair_counts(marked, vocab).toArrow().to_pandas())
-    model = own.sparkSession.sparkContext.broadcast((vocab, pair, gain, other))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, pair, gain, other = model.value
-        tokens = Tokens(vocab)
-        for batch in batches:
-            sums, sizes = [], []
-            for text in batch.column(1):
-                own = tokens.pairs(text.as_py())
-                sizes.append(len(own))
-                if not len(own):
-                    sums.append(None)
-                    continue
-                at = np.minimum(np.searchsorted(pair, own), max(len(pair) - 1, 0))
-                known = pair[at] == own
-                rest = other[0][own // VOCABULARY] + other[1][own % VOCABULARY]
-                sums.append(float(np.where(known, gain[at], rest).mean(dtype=np.float64)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())], names=["doc_id", "n_tokens", "loss_difference"])
+    # Written, as the order of rows after a shuffle is not the same each time.
+    chunks = written(_chunks(own.join(wanted, "doc_id", "left")), "chunks")
+    buckets = max(LEAST_BUCKETS, math.ceil(chunks.count() * CHUNK_CHARS / BUCKET_CHARS))
+    sums = written(_dealt(chunks, buckets, known).groupBy("bucket").applyInArrow(
+        _added, "chunk long, bucket int, sums binary, words long, background long, target long"), "sums")
+    different, *totals = (int(x or 0) for x in sums.agg(F.sum("words"), F.sum("background"), F.sum("target")).first())
+    tokens = max(VOCABULARY, different + 1)  # one more for what stands before the first word
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        parts = right.sort_by("bucket")["sums"].to_pylist()
+        every = np.concatenate([np.frombuffer(x, np.int64).reshape(2, -1) for x in parts] or [np.zeros((2, 0), np.int64)], axis=1)
+        tally = Tally(left["text"].to_pylist()[0], left["target"].to_pylist()[0], known)  # a chunk is one row
+        background, target = (_log_share(*(c[at] for at in tally.at), n, tokens) for c, n in zip(every, totals))
+        number = np.repeat(np.arange(len(tally.sizes)), tally.sizes)
+        means = np.bincount(number, background - target, len(tally.sizes)) / np.maximum(tally.sizes, 1)
+        return pa.table({"doc_id": left["doc_id"].combine_chunks().flatten(), "n_tokens": pa.array(tally.sizes),
+                         "loss_difference": pa.array(means, mask=tally.sizes == 0)})
 
     schema = T.StructType([own.schema["doc_id"], T.StructField("n_tokens", T.LongType()), T.StructField("loss_difference", T.DoubleType())])
-    return own.mapInArrow(run, schema)
+    return chunks.groupBy("chunk").cogroup(sums.select("chunk", "bucket", "sums").groupBy("chunk")).applyInArrow(run, schema)
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:

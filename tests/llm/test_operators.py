@@ -317,6 +317,33 @@ def test_language_model(spark):
     assert language_model.score(odd(spark), none).count() == 9 and language_model.score(empty(spark), none).count() == 0
 
 
+def test_language_model_of_all_words(spark):
+    """Words beyond any fixed number, and very long ones, keep their own counts."""
+    draw = random.Random(5)
+    texts = {i: " ".join(f"w{draw.randrange(6000)}" for _ in range(300)) for i in range(40)} | {40: "x" * 900 + " w1", 41: "y" * 900 + " w1", 42: None}
+    target = [i for i in texts if i % 2 == 0]
+    got = {r["doc_id"]: r for r in language_model.score(table(spark, list(texts.items())), table(spark, [(i,) for i in target], "doc_id long")).collect()}
+    number = len({w for t in texts.values() for w in (t or "").split()}) + 1
+    assert number > 2 * language_model.VOCABULARY
+
+    def model(ids):
+        pairs, one, after = Counter(), Counter(), Counter()
+        for i in ids:
+            own = (texts[i] or "").split()
+            for a, b in zip(["", *own], own):
+                pairs[a, b] += 1
+                one[b] += 1
+                after[a] += 1
+        base = lambda b: 0.25 * one[b] / sum(one.values()) + 0.05 / number
+        return lambda a, b: math.log(0.7 * pairs[a, b] / after[a] + base(b) if after[a] else base(b) / 0.3)
+
+    background, near = model(texts), model(target)
+    for i, text in texts.items():
+        own = (text or "").split()
+        want = np.mean([background(a, b) - near(a, b) for a, b in zip(["", *own], own)]) if own else None
+        assert got[i]["loss_difference"] == (pytest.approx(want, abs=1e-9) if own else None)
+
+
 # ---- vectors ----
 
 def plain_links(rows, cosine=0.9):
