@@ -2,7 +2,8 @@
 
 import public_tokenizers
 
-from pagemill.llm import bpe, decontamination, graphs, language_model, licenses, lines, quality, simhash, substring, toxicity
+from pagemill.llm import (
+    bpe, decontamination, graphs, language_model, licenses, lines, quality, quality_rules, runs, simhash, substring, toxicity, whitening)
 
 QUERIES, SQL = {}, {}
 
@@ -70,3 +71,18 @@ def lm_scoring(spark, folder):
 @query("op8_embedding_near_dedup")
 def embedding_near_dedup(spark, folder):
     return graphs.near_duplicates(_table(spark, folder, "embeddings"))
+
+
+@query("op11_whitening")
+def embedding_whitening(spark, folder):
+    return whitening.report(_table(spark, folder, "embeddings"))
+
+
+@query("op12_quality_rules", quality_rules.SQL)
+def rules(spark, folder):
+    return quality_rules.report(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@query("op13_periodic_runs")
+def periodic_runs(spark, folder):
+    return runs.report(_table(spark, folder, "documents"))
