@@ -23,8 +23,11 @@ from pyspark.sql import types as T
 #: A cut at a single space between two characters that are no white space never divides a match: every
 #: alternative that takes the space takes it as its first character.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Encoded chunks, and encoded pieces, kept per worker; about 100 MB each. Longer ones aren't kept.
-CACHE_ENTRIES, MEMO_LENGTH = 500_000, 64
+#: Bytes of encoded chunks, and of encoded pieces, that a task keeps, and the length beyond which they aren't kept. An entry
+#: takes ENTRY_BYTES beside its text and ids.
+CACHE_BYTES, MEMO_LENGTH, ENTRY_BYTES = 48 << 20, 64, 200
+#: Pairs of tokens whose compatibility is kept.
+CACHE_PAIRS = 250_000
 #: Stands before the first token of a piece.
 _START = 2**31
 #: Rows put into one output batch.
@@ -48,13 +51,18 @@ class Codec:
         self.cut_spaces = cut_spaces
         self.shorter: dict[int, int | None] = {}
         self.fits: dict[int, bool] = {}
-        # Two generations each: what is used stays, and neither grows without bound.
-        self.chunks, self.old_chunks, self.pieces, self.old_pieces = {}, {}, {}, {}
+        self.forget()
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for token, rank in ranks.items():
             self.automaton.add_word(token.decode("latin-1"), rank)
         self.automaton.make_automaton()
 
+    def forget(self) -> None:
+        """Empties the memos. Two generations each: what is used stays, and neither grows without bound."""
+        self.fits.clear()
+        self.chunks, self.old_chunks, self.pieces, self.old_pieces = {}, {}, {}, {}
+        self.chunk_bytes = self.piece_bytes = 0
+
     def merged(self, piece: bytes) -> list[int]:
         """By definition: merge the neighbours of lowest rank until none are left. Only for short pieces."""
         parts = [piece[i:i + 1] for i in range(len(piece))]
@@ -72,7 +80,7 @@ class Codec:
             fit = self.merged(self.token[right]) == [right]
         else:
             fit = self.merged(self.token[left] + self.token[right]) == [left, right]
-        if len(self.fits) >= 4 * CACHE_ENTRIES:
+        if len(self.fits) >= CACHE_PAIRS:
             self.fits.clear()
         self.fits[left << 32 | right] = fit
         return fit
@@ -123,8 +131,9 @@ class Codec:
             ids = self.piece(text.encode())
             packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(text) <= MEMO_LENGTH:
-            if len(self.pieces) >= CACHE_ENTRIES // 2:
-                self.old_pieces, self.pieces = self.pieces, {}
+            self.piece_bytes += ENTRY_BYTES + len(text) + len(packed)
+            if 2 * self.piece_bytes >= CACHE_BYTES:
+                self.old_pieces, self.pieces, self.piece_bytes = self.pieces, {}, 0
             self.pieces[text] = packed
         return packed
 
@@ -135,8 +144,9 @@ class Codec:
     def _after_space(self, chunk: str) -> bytes:
         packed = self.old_chunks.get(chunk) or self._chunk(" " + chunk)
         if len(chunk) <= MEMO_LENGTH:
-            if len(self.chunks) >= CACHE_ENTRIES // 2:
-                self.old_chunks, self.chunks = self.chunks, {}
+            self.chunk_bytes += ENTRY_BYTES + len(chunk) + len(packed)
+            if 2 * self.chunk_bytes >= CACHE_BYTES:
+                self.old_chunks, self.chunks, self.chunk_bytes = self.chunks, {}, 0
             self.chunks[chunk] = packed
         return packed
 
@@ -156,7 +166,7 @@ _CODECS: dict[tuple, Codec] = {}
 
 
 def codec(path: str, pattern: str, cut_spaces: bool = True) -> Codec:
-    """One codec per worker process, so that its memos outlive a task."""
+    """One codec per worker process; its tables outlive a task, its memos do not."""
     key = (path, pattern, cut_spaces)
     if key not in _CODECS:
         _CODECS[key] = Codec(read_ranks(path), pattern, cut_spaces)
@@ -182,14 +192,17 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks_path, pattern, cut_spaces)
-        for batch in batches:
-            for start in range(0, batch.num_rows, BATCH_ROWS):
-                part = batch.slice(start, BATCH_ROWS)
-                ids = [own.encode(t) if t else b"" for t in part.column(place).to_pylist()]
-                new = [pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64()),
-                       pa.array([own.decode(i) for i in ids], pa.binary())]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, *new], names=[*part.schema.names, "ids", "n_tokens", "decoded"])
+        try:
+            for batch in batches:
+                for start in range(0, batch.num_rows, BATCH_ROWS):
+                    part = batch.slice(start, BATCH_ROWS)
+                    ids = [own.encode(t) if t else b"" for t in part.column(place).to_pylist()]
+                    new = [pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64()),
+                           pa.array([own.decode(i) for i in ids], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.columns, *new], names=[*part.schema.names, "ids", "n_tokens", "decoded"])
+        finally:
+            own.forget()  # the worker goes on to other tasks, of other operators too
 
     return docs.mapInArrow(run, schema)
 

@@ -14,6 +14,8 @@ MIN_SITES = 10
 #: Sketches of 2^12 registers have a standard error of 1.6 %; estimates within six of these, and within one site, are
 #: counted exactly.
 LG_K, NEAR = 12, 0.1
+#: Occurrences of one line are dealt to so many tasks.
+PIECES = 16
 _KEY = ["h1", "h2"]
 
 
@@ -48,28 +50,34 @@ def remove_boilerplate(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     first occurrence stays in each of them. Other columns pass through. An empty table gives an empty table.
     """
     docs = docs.drop("n_lines", "n_removed")
+    columns = docs.columns
+    # Numbered, so that no column of docs can clash with those below.
+    docs = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
+    doc_id, text, site = (f"c{columns.index(c)}" for c in (doc_id, text, site))
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(site).alias("site"),
                       F.xxhash64(F.lit(2), text).alias("version"))
     flagged = written(boilerplate(own, min_sites), "boilerplate")
     seen = _lines(own).join(flagged, _KEY).select(*_KEY, "doc_id", "version", "pos")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "version", "pos")
-    firsts = seen.groupBy(*_KEY).agg(F.min(place).alias("first"))
-    gone = (seen.join(firsts, _KEY).where(place != F.col("first"))
+    # A line that stands in a third of all documents is a few partial rows here; its first places then meet its
+    # occurrences in pieces dealt by document, not in one task of the line.
+    firsts = seen.groupBy(*_KEY).agg(F.min(place).alias("first")).withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1))))
+    dealt = seen.withColumn("piece", F.pmod(F.xxhash64("doc_id", "version"), F.lit(PIECES)).cast("int"))
+    gone = (dealt.join(firsts, [*_KEY, "piece"]).where(place != F.col("first"))
             .groupBy("doc_id", "version").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
             .select(F.col("doc_id").alias("gone_id"), F.col("version").alias("gone_version"), "gone"))
-    split = docs.withColumn("_version", F.xxhash64(F.lit(2), text)).withColumn("_lines", F.split(text, "\n")).drop(text)
-    joined = split.join(gone, F.col(doc_id).eqNullSafe(F.col("gone_id")) & (F.col("_version") == F.col("gone_version")), "left")
+    split = docs.withColumn("version", F.xxhash64(F.lit(2), text)).withColumn("lines", F.split(text, "\n")).drop(text)
+    joined = split.join(gone, F.col(doc_id).eqNullSafe(F.col("gone_id")) & (F.col("version") == F.col("gone_version")), "left")
     # What stands between two removed lines is one slice, so the work is linear in the lines.
     n = F.size("gone")
     begin = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.get("gone", k - 1) + 1)
-    end = lambda k: F.when(k == n, F.size("_lines")).otherwise(F.get("gone", k))
-    rest = F.flatten(F.transform(F.sequence(F.lit(0), n), lambda k: F.slice("_lines", begin(k) + 1, end(k) - begin(k))))
-    cleaned = joined.select(
-        *[F.array_join(F.when(F.col("gone").isNull(), F.col("_lines")).otherwise(rest), "\n").alias(text) if c == text else F.col(f"`{c}`")
-          for c in docs.columns],
-        F.when(F.col("_lines").isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("n_lines"),
+    end = lambda k: F.when(k == n, F.size("lines")).otherwise(F.get("gone", k))
+    rest = F.flatten(F.transform(F.sequence(F.lit(0), n), lambda k: F.slice("lines", begin(k) + 1, end(k) - begin(k))))
+    cleaned = F.array_join(F.when(F.col("gone").isNull(), F.col("lines")).otherwise(rest), "\n")
+    return joined.select(
+        *[(cleaned if f"c{i}" == text else F.col(f"c{i}")).alias(c) for i, c in enumerate(columns)],
+        F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
         F.when(F.col("gone").isNull(), 0).otherwise(n).cast("long").alias("n_removed"))
-    return cleaned
 
 
 def report(docs: DataFrame) -> DataFrame:

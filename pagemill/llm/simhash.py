@@ -75,6 +75,12 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             .select("a", "b").distinct())
 
 
+def _rooted(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """distinct (a row for each simhash) with `root`, the same for all simhashes of a component."""
+    linked = connected_components(links(distinct, max_bits), "a", "b").withColumnRenamed("node", "simhash")
+    return distinct.join(linked, "simhash", "left").withColumn("root", F.coalesce("component", "simhash")).drop("component")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS,
                     max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, simhash, component_id: one row per row of docs.
@@ -92,8 +98,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", words).drop("text"),
         "fingerprints")
     distinct = prints.groupBy("simhash").agg(F.min("doc_id").alias("first"))
-    linked = connected_components(links(distinct, max_bits), "a", "b").withColumnRenamed("node", "simhash")
-    rooted = distinct.join(linked, "simhash", "left").withColumn("root", F.coalesce("component", "simhash"))
+    rooted = _rooted(distinct, max_bits)
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.select("simhash", "root").join(smallest, "root").select("simhash", "component_id")
     return prints.join(named, "simhash").select("doc_id", "simhash", "component_id")
@@ -106,13 +111,27 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of docs whose doc_id is the smallest of its component, with the columns of docs.
+    """One row of each component, with the columns of docs: that of the smallest doc_id, of its rows the one whose text, then
+    whose other columns have the smallest hash.
 
-    Rows with a null doc_id stay, those of one text as one row. Repeated rows of the doc_id that stays become one row.
+    A text without near copies stays, whatever other rows share its doc_id. Rows with a null doc_id are in no component;
+    of those with one text one stays. Repeated rows of the one that stays become one row. Columns may bear any names; an empty
+    table gives an empty table.
     """
-    found = near_duplicates(docs, words=words, max_bits=max_bits)
-    gone = found.where("component_id != doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    # Of rows without doc_id the text is the key, so that they are neither one group nor one task.
-    key = [F.coalesce("doc_id", F.lit(0)).alias("_id"), F.when(F.col("doc_id").isNull(), F.xxhash64("text")).alias("_row")]
-    return kept.select("*", *key).dropDuplicates(["_id", "_row"]).select(docs.columns)
+    columns = docs.columns
+    doc_id, text = (f"c{columns.index(c)}" for c in ("doc_id", "text"))
+    own = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
+    # A row is known by its doc_id and hashes of its text and of the other columns, so that texts are shuffled once.
+    own = own.select("*", F.xxhash64(text).alias("version"), F.xxhash64(F.to_json(F.struct(
+        F.lit(0), *[c for c in own.columns if c != text]))).alias("rest"))
+    prints = written(fingerprints(own.select(doc_id, "version", "rest", text), text, words).drop(text), "fingerprints")
+    rooted = _rooted(prints.select("simhash").distinct(), max_bits)
+    row = F.struct(doc_id, "version", "rest")
+    named = (prints.where(F.col(doc_id).isNotNull()).join(rooted, "simhash").groupBy("root").agg(F.min(row).alias("r")).select("r.*"))
+    unnamed = (prints.where(F.col(doc_id).isNull()).groupBy(doc_id, "version").agg(F.min("rest").alias("rest")))
+    keys = [F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("name"), F.col(doc_id).isNull().alias("unnamed"), "version", "rest"]
+    kept = named.unionByName(unnamed).select(*keys)
+    same = ["name", "unnamed", "version", "rest"]
+    # The join leaves rows where their keys are, so dropping repeated ones moves nothing.
+    found = own.select(*keys, *own.columns[:len(columns)]).join(kept, same, "left_semi").dropDuplicates(same)
+    return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])

@@ -11,6 +11,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+from pyspark.sql import functions as F
 
 from pagemill.llm import (
     bpe, components, decontamination, graphs, language_model, licenses, lines, minhash, quality, queries, simhash, substring, toxicity)
@@ -61,12 +62,15 @@ def test_bpe_equals_library(encoding):
 
 
 def test_bpe_memory_is_bounded(monkeypatch, encoding):
-    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 40)
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 40 * 220)
+    monkeypatch.setattr(bpe, "CACHE_PAIRS", 30)
     own = bpe.Codec(bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
     text = " ".join(f"word{i % 97} x{i}" for i in range(2_000))
     ids = encoding.encode_ordinary(text)
     assert own.encode(text) == struct.pack(f"<{len(ids)}I", *ids)
-    assert len(own.chunks) <= 20 and len(own.pieces) <= 20
+    assert len(own.chunks) <= 20 and len(own.pieces) <= 20 and len(own.fits) <= 30
+    own.forget()
+    assert not (own.chunks or own.old_chunks or own.pieces or own.old_pieces or own.fits)
 
 
 def test_bpe_query(spark, documents, encoding):
@@ -147,6 +151,19 @@ def test_simhash_odd_rows(spark):
     assert simhash.near_duplicates(empty(spark)).count() == 0 and simhash.one_of_each(empty(spark)).count() == 0
 
 
+def test_one_of_each_keeps_texts_without_copies(spark):
+    """Rows that share a doc_id but not the text, and columns that bear the names used inside."""
+    rows = [(2, "a b c d e f", 1, "x"), (1, "q r s t u v", 2, "x"), (1, "a b c d e f", 9, "x"), (1, "a b c d e f", 9, "x"),
+            (1, "a b c d e f", 8, "y"), (None, "q r s t u v", 3, "x")]
+    docs = table(spark, rows, "doc_id long, text string, version int, rest string").withColumn("_id", F.lit(1)).withColumn("c0", F.lit(2))
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    found = sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect())
+    assert found == [(0, "q r s t u v"), (1, "a b c d e f"), (1, "q r s t u v")]
+    again = simhash.one_of_each(docs.repartition(7))
+    assert sorted(map(str, kept.collect())) == sorted(map(str, again.collect()))
+
+
 @pytest.mark.parametrize("pairs", [
     [], [(1, 1)], [(None, 2)], [(i, i + 1) for i in range(60)], [(0, i) for i in range(1, 200)],
     [(i, (i * 7) % 40 + 1) for i in range(40)] + [(100, 101), (101, 100)]])
@@ -194,6 +211,9 @@ def test_boilerplate_lines(spark):
     assert (20, f"near\n{common}x") in out and (30, "same site") in out
     few = lines.remove_boilerplate(docs, min_sites=13).where("n_removed > 0").count()
     assert few == 0  # 12 sites are one too few: counted exactly
+    clashing = docs.withColumn("gone", F.lit(1)).withColumn("gone_id", F.lit(2)).withColumn("version", F.lit(3)).withColumn("lines", F.lit(4))
+    assert Counter((r["doc_id"], r["text"], r["gone"], r["lines"]) for r in lines.remove_boilerplate(clashing).collect()) == Counter(
+        (r["doc_id"], r["text"], 1, 4) for r in lines.remove_boilerplate(docs).collect())
     assert lines.remove_boilerplate(odd(spark)).count() == 9 and lines.remove_boilerplate(empty(spark)).count() == 0
 
 
