@@ -18,9 +18,13 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without boilerplate lines; n_chars counts what is left."""
-    cleaned = lines.remove_boilerplate(docs).drop("n_lines", "n_removed")
-    return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    """All documents, without boilerplate lines; n_chars, where there is one, counts what is left."""
+    own = docs.select(*[F.col(f"`{c}`").alias(f"own{i}") for i, c in enumerate(docs.columns)])
+    doc_id, text, site = (f"own{docs.columns.index(c)}" for c in ("doc_id", "text", "source"))
+    cleaned = lines.remove_boilerplate(own, doc_id, text, site)
+    return cleaned.select(*[
+        (F.length(text).cast(docs.schema[c].dataType) if c == "n_chars" else F.col(f"own{i}")).alias(c)
+        for i, c in enumerate(docs.columns)])
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
