@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pagemill.fixed import ENTITIES
+from pagemill.functions.text import escape_marks, unescape_marks
 
 # Named (1-10 letters or digits), decimal or hexadecimal reference, closed by a semicolon.
 ENTITY = "&(?:[A-Za-z0-9]{1,10}|#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,7});"
@@ -30,11 +31,7 @@ def _code_point(ref: Column) -> Column:
 def decode_piece(piece: Column) -> Column:
     """Decode one reference; an unknown one comes back unchanged."""
     code = _code_point(piece)
-    usable = (
-        code.between(1, 0x10FFFF)
-        & ~code.between(0xD800, 0xDFFF)
-        & ~code.between(0xFDD0, 0xFDEF)
-    )
+    usable = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
     numeric = F.when(usable, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
     return F.coalesce(
         F.when(F.substring(piece, 2, 1) == "#", numeric)
@@ -58,3 +55,8 @@ def decode_entities(text: Column) -> Column:
         "",
     )
     return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+
+
+def decode_escaped(text: Column) -> Column:
+    """decode_entities on a text whose marks are escaped: those that references stand for are escaped too."""
+    return F.when(F.contains(text, F.lit("&")), escape_marks(decode_entities(unescape_marks(text)))).otherwise(text)

@@ -1,8 +1,10 @@
 """Whitespace expressions. All are Column -> Column and stay inside the JVM."""
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
-from pagemill.fixed import HTML_WHITESPACE, LINE_TRIM
+from pagemill.fixed import HTML_WHITESPACE, LINE_TRIM, MARK_ESCAPE, MARKS
 
 
 def char_class(chars: str) -> str:
@@ -34,10 +36,16 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def drop_marks(text: Column, keep: str = "") -> Column:
-    """Remove the noncharacters the plans use as internal marks."""
-    kept = f"&&[^{keep}]" if keep else ""
-    return F.regexp_replace(text, f"[\ufdd0-\ufdef{kept}]", "")
+def escape_marks(text: Column) -> Column:
+    """The text with the marks that it holds itself as MARK_ESCAPE and a digit; most texts hold none."""
+    escaped = reduce(lambda t, k: F.replace(t, F.lit(MARKS[k]), F.lit(f"{MARK_ESCAPE}{k}")), range(len(MARKS)), text)
+    return F.when(text.rlike(f"[{MARKS}]"), escaped).otherwise(text)
+
+
+def unescape_marks(text: Column) -> Column:
+    """The way back from escape_marks; marks of the plan must be gone."""
+    plain = reduce(lambda t, k: F.replace(t, F.lit(f"{MARK_ESCAPE}{k}"), F.lit(MARKS[k])), reversed(range(len(MARKS))), text)
+    return F.when(F.contains(text, F.lit(MARK_ESCAPE)), plain).otherwise(text)
 
 
 def collapse_whitespace(text: Column) -> Column:

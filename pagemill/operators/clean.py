@@ -4,11 +4,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pagemill.fixed import HIT_MARK, STRIP_MODES, TAG_MARK
+from pagemill.fixed import STRIP_MODES, TAG_MARK
 from pagemill.functions import html as H
-from pagemill.functions.entities import decode_entities, entity_pieces, entity_table
+from pagemill.functions.entities import decode_escaped, entity_pieces, entity_table
 from pagemill.functions.text import (
-    WS, collapse_lines, collapse_whitespace, drop_marks, whitespace_count)
+    WS, collapse_lines, collapse_whitespace, escape_marks, unescape_marks, whitespace_count)
 
 # A run of tag marks between a visible character and more text.
 _SPACE_AT_TAGS = rf"{TAG_MARK}(?<!\A{TAG_MARK})(?<!{WS}{TAG_MARK})(?<!{TAG_MARK}{TAG_MARK}){TAG_MARK}*+(?!\z)"
@@ -57,17 +57,17 @@ def strip_tags(html: Column) -> Column:
 
     def render(token):
         return (
-            F.when(H.is_text(token), decode_entities(token))
+            F.when(H.is_text(token), decode_escaped(token))
             .when(H.is_comment(token) | H.is_doctype(token), "")
             .when(token.rlike(r"(?i)\A<textarea[ \t\n\r>/]"),
-                  F.concat(F.lit(TAG_MARK), decode_entities(H.raw_content(token)), F.lit(TAG_MARK)))
+                  F.concat(F.lit(TAG_MARK), decode_escaped(H.raw_content(token)), F.lit(TAG_MARK)))
             .when(token.rlike(r"(?i)\A</?(?:script|style)(?:[ \t\n\r>/]|\z)"), "")
             .otherwise(TAG_MARK)
         )
 
-    joined = F.array_join(F.transform(H.token_array(drop_marks(html, HIT_MARK)), render), "")
+    joined = F.array_join(F.transform(H.token_array(escape_marks(html)), render), "")
     spaced = F.regexp_replace(joined, _SPACE_AT_TAGS, " ")
-    return collapse_lines(F.replace(spaced, F.lit(TAG_MARK), F.lit("")))
+    return unescape_marks(collapse_lines(F.replace(spaced, F.lit(TAG_MARK), F.lit(""))))
 
 
 ROW_LOCAL = {

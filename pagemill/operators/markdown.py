@@ -13,13 +13,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pagemill import fixed
 from pagemill.fixed import (
-    LINE_TRIM, CAPTION_CLOSE, CAPTION_OPEN, CELL_MARK, FENCE_CLOSE, FENCE_OPEN, HIT_MARK, LI_MARK, ROW_MARK)
+    LINE_TRIM, CAPTION_CLOSE, CAPTION_OPEN, CELL_MARK, FENCE_CLOSE, FENCE_OPEN, LI_MARK, ROW_MARK)
 from pagemill.functions import html as H
-from pagemill.functions.entities import decode_entities
+from pagemill.functions.entities import decode_escaped
 from pagemill.functions.text import (
-    NOT_TRIM_ANY, TRIM_ANY, char_class, collapse_inline, collapse_whitespace, drop_marks,
-    fold_blank_lines, run_of)
+    NOT_TRIM_ANY, TRIM_ANY, char_class, collapse_inline, collapse_whitespace, escape_marks,
+    fold_blank_lines, run_of, unescape_marks)
 from pagemill.operators.tokens import token_pieces
+from pagemill.session import by_page
 
 _RESET = 1 << 40  # larger than any depth: subtracting it restarts a clamped running sum
 
@@ -59,13 +60,11 @@ _FLUSH = f"(ev in ({_names(_FLUSHING)}) or ev = '{_END}')"
 
 
 def _events(pages: DataFrame, keys: list[str], html: str, others: list[str]) -> DataFrame:
-    tokens = F.filter(H.token_array(drop_marks(F.col(html), HIT_MARK)), lambda t: ~t.rlike(_DROPPED))
+    tokens = F.filter(H.token_array(escape_marks(F.col(html))), lambda t: ~t.rlike(_DROPPED))
     pieces = token_pieces(F.col(html), tokens)
     edge = F.struct(F.lit("").alias("token"), F.lit(True).alias("raw"))
     last = F.struct(F.lit(_END).alias("token"), F.lit(False).alias("raw"))
-    # A page grows manyfold when exploded, so its small size must not shrink the task count.
-    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = pages.repartition(tasks, *keys).select(
+    rows = by_page(pages, *keys).select(
         *keys, F.struct(*others).alias("carried") if others else F.lit(None).cast("string").alias("carried"),
         F.posexplode(F.concat(F.array(edge), F.coalesce(pieces, F.array()), F.array(last))).alias("pos", "p"))
     token = F.col("p.token")
@@ -110,7 +109,7 @@ def _with_attributes(events: DataFrame) -> DataFrame:
         """coalesce(
            case when ev = 'source' then nullif(get(filter(attrs, a -> lower(a.name) = 'srcset'), 0).value, '') end,
            case when ev in ('img', 'source') then get(filter(attrs, a -> lower(a.name) = 'src'), 0).value end) as src""")
-    decoded = rows.withColumns({c: decode_entities(F.col(c)) for c in ("text", "note", "src")})
+    decoded = rows.withColumns({c: decode_escaped(F.col(c)) for c in ("text", "note", "src")})
     return decoded.withColumns({
         "note": F.expr("case when ev in ('a', 'img', 'abbr', 'time') then coalesce(note, '') end"),
         "src": F.expr(r"""case ev when 'img' then coalesce(src, '')
@@ -343,7 +342,7 @@ def _normalise(df: DataFrame, column: str) -> DataFrame:
         .withColumn(column, F.when(F.contains(text, F.lit(CAPTION_OPEN)), captioned).otherwise(text))
         .withColumn(column, F.when(F.contains(text, F.lit(CELL_MARK)), celled).otherwise(text))
         .withColumn(column, F.when(F.contains(text, F.lit(FENCE_OPEN)), fenced).otherwise(collapse_inline(text)))
-        .withColumn(column, fold_blank_lines(text))
+        .withColumn(column, unescape_marks(fold_blank_lines(text)))
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pagemill import fixed
 from pagemill.functions import html as H
 from pagemill.functions.entities import decode_entities
-from pagemill.functions.text import collapse_whitespace, let, trim_any
+from pagemill.functions.text import collapse_whitespace, let, trim_any, unescape_marks
 from pagemill.operators import markdown as M
 
 _ATTRS = rf"(?:[ \t\n\r/=]|{H.ATTRIBUTE})*+"
@@ -164,7 +164,7 @@ def _cut(rows: DataFrame, keys, span: Column, columns: list[str]) -> DataFrame:
         *[s[c].alias(c) for c in columns],
         F.substr(F.col("page_text"), (s["start"] + 1).cast("int"), (s["stop"] - s["start"]).cast("int")).alias("text")))
     return per_page.select(*keys, F.explode(cut).alias("s")).select(
-        *keys, *[f"s.{c}" for c in columns], _tidy(F.col("s.text")).alias("text"))
+        *keys, *[f"s.{c}" for c in columns], unescape_marks(_tidy(F.col("s.text"))).alias("text"))
 
 
 def list_items(pages: DataFrame, keys=("page_id",), html="html") -> DataFrame:
@@ -241,7 +241,7 @@ def table_rows(pages: DataFrame, keys=("page_id",), html="html") -> DataFrame:
         F.array_join(F.transform(F.array_sort(F.collect_list(
             F.when(F.col("text") != "", F.struct("pos", "text")))), lambda t: t["text"]), "").alias("text"))
     rows = cells.groupBy(*keys, "table_base", "row_base").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("n_cell", _tidy(F.col("text")).alias("text")))),
+        F.transform(F.array_sort(F.collect_list(F.struct("n_cell", unescape_marks(_tidy(F.col("text"))).alias("text")))),
                     lambda c: c["text"]).alias("cells"))
     tables = Window.partitionBy(*keys).orderBy("table_base")
     within = Window.partitionBy(*keys, "table_base").orderBy("row_base")

@@ -33,3 +33,20 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *keys)
+
+
+#: Bytes of input for each task of a job that takes pages apart: a page grows manyfold there.
+PAGE_BYTES_PER_TASK = 16 * 1024 * 1024
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that df reads, by the optimizer's statistics; tables of unknown size count nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < 1 << 60)
+
+
+def by_page(pages: DataFrame, *keys: str) -> DataFrame:
+    """Pages dealt by key to as many tasks as the input's size asks for, the session's shuffle partitions at least."""
+    least = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pages.repartition(max(least, input_bytes(pages) // PAGE_BYTES_PER_TASK), *keys)

@@ -1,6 +1,8 @@
 """Search and rate limit against brute force on small inputs."""
 
 import random
+import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -50,6 +52,92 @@ def test_snippets(spark):
         assert s.count("<") == s.count(">") and "About Us" in s
 
 
+def test_marks_of_the_page_are_kept(spark):
+    """Pages that hold the code points that plans use as marks come out whole, with exact offsets."""
+    from pagemill.fixed import MARKS
+    from pagemill.functions.entities import decode_entities
+    from pagemill.operators.clean import strip_tags
+    from pagemill.operators.markdown import html_to_markdown
+    from pagemill.operators.structure import blockquotes
+
+    text = "".join(f"{m}a" for m in MARKS) + "\ufddf" + MARKS
+    html = f"<p>{text}</p><blockquote>q{MARKS} &amp; &#xFDD0;&#64985;7</blockquote>"
+    pages = spark.createDataFrame([(1, html)], "page_id int, html string")
+    quote = f"q{MARKS} & \ufdd0\ufdd97"
+    assert pages.select(decode_entities(F.lit("&#xFDD0;&#64975;"))).first()[0] == "\ufdd0\ufdcf"
+    assert pages.select(strip_tags(F.col("html"))).first()[0] == f"{text} {quote}"
+    assert html_to_markdown(pages, ["page_id"]).first()["markdown"] == f"{text}\n\n> {quote}"
+    assert blockquotes(pages).first()["text"] == quote
+    asked = spark.createDataFrame([(1, "\ufdd0a", 0, "tags"), (2, "& \ufdd0", 3, "tags"), (3, "\ufdd6", 1, "none"), (4, "\ufddf", 2, "html2md")], TERMS)
+    found = search.find_matches(pages.select("page_id", search.visible_text(F.col("html")).alias("text")), asked, ["page_id"])
+    places = {(r["term_id"], r["raw_start"], r["raw_end"]) for r in search.match_context(found, pages, ["page_id"]).collect()}
+    want = {(1, html.index("\ufdd0a"), html.index("\ufdd0a") + 2), (2, html.index("&amp;"), html.index("&#64985")),
+            (4, html.index("\ufddf"), html.index("\ufddf") + 1), *((3, i, i + 1) for i in overlaps(html, "\ufdd6"))}
+    assert places == want
+    rows = search.search_snippets(pages, asked, modes=("none", "tags", "html2md")).collect()
+    shown = {(r["term_id"], r["match_index"]): r["snippet"] for r in rows}
+    assert shown[1, 1] == "\ufdd0a" and shown[2, 1] == MARKS[-2:] + " & \ufdd0\ufdd97"[:6]
+    assert shown[3, 1] == "a\ufdd6a" and shown[3, 2] == MARKS[6] + "\ufdd6" + MARKS[8] and shown[4, 1] == MARKS[-1] + "a\ufddf" + MARKS[:2]
+
+
+def brute_context(html, start, end, limit):
+    low, high = max(start - 5 * limit, 0), min(end + 5 * limit, len(html))
+    cut = html[:low]
+    if cut.rfind("<") > cut.rfind(">"):
+        low = cut.rfind("<")
+    cut = html[:high]
+    if cut.rfind("<") > cut.rfind(">") and ">" in html[high:]:
+        high = html.index(">", high) + 1
+    return low, high
+
+
+def test_windows_grow_to_whole_tags(spark, monkeypatch):
+    """Tags that begin or end in other blocks, stray brackets, windows that reach the ends of the page."""
+    monkeypatch.setattr(search, "BLOCK", 16)
+    random.seed(11)
+    rows = []
+    for page in range(60):
+        parts = [random.choice(["needle", "x" * random.randint(1, 40), f'<a href="{"y" * random.randint(0, 60)}">', "</a>", "> ", "é" * 7])
+                 for _ in range(random.randint(1, 25))]
+        rows.append((page, "".join(parts)))
+    pages = spark.createDataFrame(rows, "page_id int, html string")
+    asked = spark.createDataFrame([(1, "needle", 3, "none"), (2, "xx", 9, "none")], TERMS)
+    found = search.find_matches(pages.select("page_id", search.visible_text(F.col("html")).alias("text")), asked, ["page_id"])
+    html = dict(rows)
+    got = search.match_context(found, pages, ["page_id"]).collect()
+    assert len(got) > 300
+    for r in got:
+        found = html[r["page_id"]][r["raw_start"]:r["raw_end"]]
+        assert re.sub("</?a[^>]*>", "", found) == {1: "needle", 2: "xx"}[r["term_id"]]
+        assert (r["low"], r["high"]) == brute_context(html[r["page_id"]], r["raw_start"], r["raw_end"], {1: 3, 2: 9}[r["term_id"]])
+
+
+def test_a_page_with_very_many_matches(spark):
+    """A page of 1 MB with 50,000 matches: the work per match does not grow with the page."""
+    html = "<p>stone, and a &amp; b</p>" * 50_000
+    pages = spark.createDataFrame([(1, html)], "page_id int, html string")
+    asked = spark.createDataFrame([(1, "stone", 10, "tags")], TERMS)
+    start = time.time()
+    rows = search.search_snippets(pages, asked, modes=("tags",)).select("match_index", "total_matches", "snippet").collect()
+    assert time.time() - start < 60
+    assert len(rows) == 50_000 and {r["total_matches"] for r in rows} == {50_000}
+    middle = [r["snippet"] for r in rows if r["match_index"] == 25_000]
+    assert middle == ["and a & b stone, and a & "]
+
+
+def test_terms_are_looked_up_by_their_rarest_gram(spark):
+    """A thousand terms of one common prefix: each meets only the pages that hold its own rare gram."""
+    texts = spark.createDataFrame([(i, f"prefix common words {'prefix' if i % 2 else ''} prefix{i:04d}") for i in range(200)], "page_id int, text string")
+    asked = spark.createDataFrame([(i, f"Prefix{i:04d}", 5, "none") for i in range(1000)], TERMS)
+    keyed = asked.withColumn("lterm", F.lower("term"))
+    grams = texts.select(F.explode(search._grams(F.lower("text"), [4])).alias("gram"))
+    chosen = search.rarest_grams(grams, keyed, 4, True)
+    pages_of = grams.groupBy("gram").count()
+    assert chosen.join(pages_of, "gram").agg(F.max("count")).first()[0] <= 20
+    found = search.find_matches(texts, asked, ["page_id"]).collect()
+    assert {(r["page_id"], r["term_id"]) for r in found} == {(i, i) for i in range(200)}
+
+
 def brute_bucket(log, most, window):
     state, out = {}, {}
     for key, ms, request in sorted(log):
