@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from pagemill.fixed import RATE_MAX_REQUESTS, RATE_WINDOW_MS
 from pagemill.operators import throttle as T
 from pagemill.plans import sql as Q
 from pagemill.plans.cleaning import _markdown_sql
@@ -18,8 +19,8 @@ def request_log(spark, folder):
         F.col("user_id").alias("key"), F.col("event_id").alias("request"), T.epoch_ms(F.col("ts")).alias("ms"))
 
 
-def _replay_sql(columns, key="user_id"):
-    cap, cost = MAX * WINDOW, WINDOW
+def _replay_sql(columns, key="user_id", most=MAX, window=WINDOW):
+    cap, cost = most * window, window
     return f"""
 with recursive e as (
   select {key} as key, event_id as request, (epoch_us(ts) // 1000)::bigint as ms,
@@ -27,12 +28,12 @@ with recursive e as (
 r as (
   select key, request, ms, n, true as admitted, {cap - cost}::bigint as tokens_left from e where n = 1
   union all
-  select e.key, e.request, e.ms, e.n, least({cap}, r.tokens_left + (e.ms - r.ms) * {MAX}) >= {cost},
-    (least({cap}, r.tokens_left + (e.ms - r.ms) * {MAX})
-      - case when least({cap}, r.tokens_left + (e.ms - r.ms) * {MAX}) >= {cost} then {cost} else 0 end)::bigint
+  select e.key, e.request, e.ms, e.n, least({cap}, r.tokens_left + (e.ms - r.ms) * {most}) >= {cost},
+    (least({cap}, r.tokens_left + (e.ms - r.ms) * {most})
+      - case when least({cap}, r.tokens_left + (e.ms - r.ms) * {most}) >= {cost} then {cost} else 0 end)::bigint
   from r join e on e.key = r.key and e.n = r.n + 1),
 d as (select key, request, ms, admitted, tokens_left,
-  case when admitted then 0 else ({cost} - tokens_left + {MAX - 1}) // {MAX} end as wait_ms from r)
+  case when admitted then 0 else ({cost} - tokens_left + {most - 1}) // {most} end as wait_ms from r)
 select {columns} from d"""
 
 
@@ -66,6 +67,14 @@ def q_by_type(spark, folder):
         F.count("*").alias("requests"), F.count_if("admitted").alias("admitted"))
 
 
+@query("rate_limit_default", _replay_sql("request, admitted, tokens_left, wait_ms", "event_type", RATE_MAX_REQUESTS, RATE_WINDOW_MS))
+def q_default(spark, folder):
+    """The default limit of 30 per minute, on keys that hold a fifth of the log each."""
+    log = table(spark, folder, "events").select(
+        F.col("event_type").alias("key"), F.col("event_id").alias("request"), T.epoch_ms(F.col("ts")).alias("ms"))
+    return T.rate_limit_replay(log, "key", "ms", "request").select("request", "admitted", "tokens_left", "wait_ms")
+
+
 @query("rate_limit_stream", _replay_sql("key, request, ms, admitted, tokens_left, wait_ms"))
 def q_stream(spark, folder):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", stream_throttle.STATE_STORE)

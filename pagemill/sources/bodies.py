@@ -9,8 +9,13 @@ from pagemill.operators.requests import extension_allowed
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared checkpoint folder of the cluster; a local one only without it."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pagemill-")
+    """A new folder in the shared folder of spark.checkpoint.dir. A local session without it gets a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="pagemill-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

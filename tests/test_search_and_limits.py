@@ -4,6 +4,7 @@ import random
 import re
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from pagemill.operators import search, throttle
@@ -160,6 +161,20 @@ def test_rate_limit_with_a_hot_key(spark):
     assert {r["request"]: (r["admitted"], r["tokens_left"], r["wait_ms"]) for r in rows} == brute_bucket(log, 30, 10_000)
 
 
+@pytest.mark.parametrize("most,window,span", [(2, 1_000, 40_000), (30, 60_000, 900_000), (3, 7, 6_000), (5, 1_000, 3_000_000)])
+def test_a_key_that_never_pauses_is_replayed_in_parts(spark, monkeypatch, most, window, span):
+    """Parts of few rows under light, heavy and changing load give what one pass over the key gives."""
+    monkeypatch.setattr(throttle, "CHUNK_ROWS", 40)
+    random.seed(most)
+    log = [(random.choice(["hot", "hot", "hot", "cool"]), random.randrange(span // 2) + (random.random() < 0.3) * span // 2, i) for i in range(4000)]
+    df = spark.createDataFrame(log, "key string, ms bigint, request int")
+    counts = df.groupBy("key", "ms").agg(F.count("*").alias("n"))
+    placed, states = throttle._chunks(counts, most, window)
+    assert states.where("key = 'hot'").count() > 8 and placed.groupBy("key", "island", "part").count().agg(F.max("count")).first()[0] < 400
+    rows = throttle.rate_limit_replay(df, "key", "ms", "request", most, window).collect()
+    assert {r["request"]: (r["admitted"], r["tokens_left"], r["wait_ms"]) for r in rows} == brute_bucket(log, most, window)
+
+
 def test_hot_key_is_cut_into_runs(spark):
     """One key with quiet gaps: its runs are separate groups, and the counts are combined first."""
     log = spark.range(1000).select(
