@@ -5,34 +5,32 @@ unigrams and a uniform share, with the same weights and vocabulary. A token's lo
 log-probability minus the target model's; a document's score is the mean over its tokens, so lower means nearer to the
 target.
 
-The counts are never in one place. Documents are packed in chunks; a chunk counts its pairs, first tokens and second
+The counts are never in one place. Documents are dealt to chunks; a chunk counts its pairs, first tokens and second
 tokens by hashed keys and deals the different ones to buckets of the key range. A bucket adds up each key over all chunks
 and gives every chunk the sums of its own keys, in its own order, with which the chunk scores its documents. A key has one
-entry per chunk at most, so a common pair is not a hot key. The driver gets three sums: different words, tokens, and
-tokens of target documents.
+entry per chunk at most, so a common pair is not a hot key. With its sums each bucket gives every chunk its numbers of different
+words and of tokens, so the totals are known where they are needed. The texts are shuffled once, to their chunks: counting and
+scoring read that same exchange, and nothing else is written. The driver gets the number of characters alone.
 """
 
 import math
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagemill.llm.shared import written
-
 #: The uniform share is spread over all different tokens, and over so many at least. An explicit size is this at most.
 VOCABULARY = 2_048
 #: Shares of the bigram and unigram estimates; the rest is uniform.
 BIGRAM, UNIGRAM = 0.7, 0.25
 #: Longer words never enter a vocabulary of an explicit size.
 WORD_CHARS = 64
-#: Characters of a chunk (one document more at most), characters per bucket, least number of buckets.
-CHUNK_CHARS, BUCKET_CHARS, LEAST_BUCKETS = 1 << 21, 1 << 24, 64
+#: Characters of a chunk, characters per bucket, least number of buckets. So many neighbouring rows go to one chunk.
+CHUNK_CHARS, BUCKET_CHARS, LEAST_BUCKETS, NEIGHBOURS = 3 << 20, 1 << 24, 64, 16
+#: Ids of target documents are broadcast up to this number; more of them are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
 _PAIR, _AFTER, _ONE = range(3)
 _START = xxhash.xxh64_intdigest(b"")  # no word is empty
 
@@ -84,68 +82,57 @@ class Tally:
         self.keys, self.counts, self.at = keys[order], np.stack(counts)[:, order], [place[x] for x in self.at]
 
 
-def _chunks(docs: DataFrame) -> DataFrame:
-    """chunk and arrays doc_id, target and text, of a row for each document."""
-
-    def packed(number: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        rows = pa.Table.from_batches(held).combine_chunks()
-        lists = [pa.ListArray.from_arrays([0, len(rows)], c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c) for c in rows.columns]
-        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *lists], names=["chunk", *rows.column_names])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held, chars = TaskContext.get().partitionId() << 32, [], 0
-        for batch in batches:
-            start = 0
-            for k, text in enumerate(batch.column(2)):
-                chars += len(text.as_py() or "")
-                if chars >= CHUNK_CHARS:
-                    yield packed(number, [*held, batch.slice(start, k + 1 - start)])
-                    number, held, chars, start = number + 1, [], 0, k + 1
-            if start < batch.num_rows:
-                held.append(batch.slice(start))
-        if held:
-            yield packed(number, held)
-
-    own = docs.select("doc_id", "target", "text")
-    schema = T.StructType([T.StructField("chunk", T.LongType()), *(T.StructField(f.name, T.ArrayType(f.dataType)) for f in own.schema)])
-    return own.mapInArrow(run, schema)
-
-
-def _dealt(chunks: DataFrame, buckets: int, known: set[str] | None) -> DataFrame:
-    """chunk, bucket, keys, counts: what each chunk has in a bucket of the key range."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk, targets, texts in zip(*batch.columns):
-                tally = Tally(texts.as_py(), targets.as_py(), known)
-                bucket = (tally.keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-                numbers, starts = np.unique(bucket, return_index=True)
-                ends = [*starts[1:], len(bucket)]
-                if len(numbers):
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([chunk.as_py()] * len(numbers), pa.int64()), pa.array(numbers.astype(np.int32)),
-                        pa.array([tally.keys[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
-                        pa.array([tally.counts[:, a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
-                    ], names=["chunk", "bucket", "keys", "counts"])
-
-    return chunks.select("chunk", "target", "text").mapInArrow(run, "chunk long, bucket int, keys binary, counts binary")
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes as the largest takes, all lowest bytes first: high bytes are mostly zero and compress."""
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    width = data[0]
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel()
+
+
+def _steps(keys: np.ndarray) -> bytes:
+    """Ascending keys: the first one, then the steps to the next."""
+    return keys[:1].tobytes() + _packed(np.diff(keys))
+
+
+def _keys(data: bytes) -> np.ndarray:
+    return np.cumsum(np.concatenate((np.frombuffer(data[:8], np.uint64), _unpacked(data[8:]))), dtype=np.uint64) if len(data) > 1 else np.zeros(0, np.uint64)
+
+
+def _dealt(rows: pa.Table, buckets: int, known: set[str] | None) -> pa.Table:
+    """chunk, bucket, keys, counts, target_counts: what a chunk has in each bucket of the key range, often nothing."""
+    tally = Tally(rows["text"].to_pylist(), rows["target"].to_pylist(), known)
+    bucket = (tally.keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+    edges = np.searchsorted(bucket, np.arange(buckets + 1))
+    parts = list(zip(edges[:-1].tolist(), edges[1:].tolist()))
+    return pa.table({
+        "chunk": pa.array([rows["chunk"][0].as_py()] * buckets, pa.int64()), "bucket": pa.array(range(buckets), pa.int32()),
+        "keys": pa.array([_steps(tally.keys[a:b]) for a, b in parts], pa.binary()),
+        **{name: pa.array([_packed(own[a:b]) for a, b in parts], pa.binary()) for name, own in zip(("counts", "target_counts"), tally.counts)}})
 
 
 def _added(rows: pa.Table) -> pa.Table:
-    """chunk, bucket, sums of its keys over all chunks; in the first row the bucket's different words and tokens."""
-    keys = [np.frombuffer(x, np.uint64) for x in rows["keys"].to_pylist()]
-    counts = np.concatenate([np.frombuffer(x, np.int64).reshape(2, -1) for x in rows["counts"].to_pylist()], axis=1)
+    """chunk, bucket, sums of its keys over all chunks, and the bucket's different words and tokens."""
+    keys = [_keys(x) for x in rows["keys"].to_pylist()]
     every, at = np.unique(np.concatenate(keys), return_inverse=True)
     sums = np.zeros((2, len(every)), np.int64)
-    for own, count in zip(sums, counts):
-        np.add.at(own, at, count)
+    for own, name in zip(sums, ("counts", "target_counts")):
+        counts = [_unpacked(x) for x in rows[name].to_pylist()]
+        np.add.at(own, at, np.concatenate(counts).astype(np.int64))
     one = every & np.uint64(3) == _ONE
     ends = np.cumsum([len(k) for k in keys])
-    whole = [[int(x)] + [0] * (len(keys) - 1) for x in (one.sum(), *sums[:, one].sum(axis=1))]
     return pa.table({
         "chunk": rows["chunk"], "bucket": rows["bucket"],
-        "sums": pa.array([sums[:, at[e - len(k):e]].tobytes() for k, e in zip(keys, ends)], pa.binary()),
-        **{name: pa.array(x, pa.int64()) for name, x in zip(("words", "background", "target"), whole)}})
+        **{name: pa.array([_packed(own[at[e - len(k):e]]) for k, e in zip(keys, ends)], pa.binary())
+           for name, own in zip(("sums", "target_sums"), sums)},
+        **{name: pa.array([int(x)] * len(keys), pa.int64())
+           for name, x in zip(("words", "background", "target"), (one.sum(), *sums[:, one].sum(axis=1)))}})
 
 
 def _log_share(pair: np.ndarray, after: np.ndarray, one: np.ndarray, total: int, size: int) -> np.ndarray:
@@ -162,32 +149,40 @@ def score(docs: DataFrame, targets: DataFrame, size: int | None = None) -> DataF
     words, all other words one token; without it all words are in the vocabulary. Words stand between white space. Null,
     empty and blank texts have no tokens and a null score. Rows with a null doc_id count for the background and are scored.
     Repeated rows count and are scored each. Without targets the target model is uniform. An empty table gives an empty table.
+    docs must give its rows in the same order when a lost task reads them again, as a table does.
     """
     own = docs.select("doc_id", "text")
     if size is not None and not 1 < size <= VOCABULARY:
         raise ValueError(f"an explicit vocabulary has 2 to {VOCABULARY} tokens")
     known = None if size is None else set(vocabulary(own, size))
     wanted = targets.select("doc_id").where("doc_id is not null").distinct().withColumn("target", F.lit(True))
-    # Written, as the order of rows after a shuffle is not the same each time.
-    chunks = written(_chunks(own.join(wanted, "doc_id", "left")), "chunks")
-    buckets = max(LEAST_BUCKETS, math.ceil(chunks.count() * CHUNK_CHARS / BUCKET_CHARS))
-    sums = written(_dealt(chunks, buckets, known).groupBy("bucket").applyInArrow(
-        _added, "chunk long, bucket int, sums binary, words long, background long, target long"), "sums")
-    different, *totals = (int(x or 0) for x in sums.agg(F.sum("words"), F.sum("background"), F.sum("target")).first())
-    tokens = max(VOCABULARY, different + 1)  # one more for what stands before the first word
+    if wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    chars = own.agg(F.sum(F.length("text"))).first()[0] or 0
+    chunks, buckets = max(1, math.ceil(chars / CHUNK_CHARS)), max(LEAST_BUCKETS, math.ceil(chars / BUCKET_CHARS))
+    # By the place in the input and not by value: rows that are often repeated spread over the chunks.
+    place = F.floor(F.monotonically_increasing_id() / NEIGHBOURS)
+    dealt = own.withColumn("chunk", F.pmod(F.xxhash64(place), F.lit(chunks))).join(wanted, "doc_id", "left")
+    by_chunk = dealt.select("chunk", "doc_id", "target", "text").groupBy("chunk")
+    sums = by_chunk.applyInArrow(
+        lambda rows: _dealt(rows, buckets, known), "chunk long, bucket int, keys binary, counts binary, target_counts binary"
+    ).groupBy("bucket").applyInArrow(
+        lambda rows: _added(rows), "chunk long, bucket int, sums binary, target_sums binary, words long, background long, target long")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        parts = right.sort_by("bucket")["sums"].to_pylist()
-        every = np.concatenate([np.frombuffer(x, np.int64).reshape(2, -1) for x in parts] or [np.zeros((2, 0), np.int64)], axis=1)
-        tally = Tally(left["text"].to_pylist()[0], left["target"].to_pylist()[0], known)  # a chunk is one row
+        right = right.sort_by("bucket")
+        every = [np.concatenate([_unpacked(x) for x in right[name].to_pylist()]) for name in ("sums", "target_sums")]
+        different, *totals = (sum(right[name].to_pylist()) for name in ("words", "background", "target"))
+        tokens = max(VOCABULARY, different + 1)  # one more for what stands before the first word
+        tally = Tally(left["text"].to_pylist(), left["target"].to_pylist(), known)
         background, target = (_log_share(*(c[at] for at in tally.at), n, tokens) for c, n in zip(every, totals))
         number = np.repeat(np.arange(len(tally.sizes)), tally.sizes)
         means = np.bincount(number, background - target, len(tally.sizes)) / np.maximum(tally.sizes, 1)
-        return pa.table({"doc_id": left["doc_id"].combine_chunks().flatten(), "n_tokens": pa.array(tally.sizes),
+        return pa.table({"doc_id": left["doc_id"], "n_tokens": pa.array(tally.sizes),
                          "loss_difference": pa.array(means, mask=tally.sizes == 0)})
 
     schema = T.StructType([own.schema["doc_id"], T.StructField("n_tokens", T.LongType()), T.StructField("loss_difference", T.DoubleType())])
-    return chunks.groupBy("chunk").cogroup(sums.select("chunk", "bucket", "sums").groupBy("chunk")).applyInArrow(run, schema)
+    return by_chunk.cogroup(sums.groupBy("chunk")).applyInArrow(run, schema)
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
