@@ -33,6 +33,7 @@ CHUNK_CHARS, BUCKET_CHARS, LEAST_BUCKETS, NEIGHBOURS = 3 << 20, 1 << 24, 64, 16
 BROADCAST_IDS = 2_000_000
 _PAIR, _AFTER, _ONE = range(3)
 _START = xxhash.xxh64_intdigest(b"")  # no word is empty
+_COUNTS = ("counts", "target_counts", "ends", "target_ends")
 
 
 def words(text: str) -> list[str]:
@@ -49,16 +50,17 @@ def vocabulary(docs: DataFrame, size: int) -> list[str]:
 
 def _key(kind: int, second: np.ndarray, first: np.ndarray | int = 0) -> np.ndarray:
     """62 bits of a hash of the hashed words, and the kind in the lowest two bits."""
-    x = first * np.uint64(0x9E3779B97F4A7C15) + second + np.uint64(kind + 1) * np.uint64(0xD1B54A32D192ED03)
+    x = first * np.uint64(0x9E3779B97F4A7C15) + second + np.array([kind + 1], np.uint64) * np.uint64(0xD1B54A32D192ED03)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return (x ^ (x >> np.uint64(31))) & ~np.uint64(3) | np.uint64(kind)
 
 
 class Tally:
-    """Sorted keys of a chunk with their counts in all documents and in target documents; sizes: tokens of each document;
-    at: numbers of each token's three keys. known: the words of an explicit vocabulary, others are the token that also
-    stands before the first."""
+    """Sorted keys of a chunk: of its pairs, its words and the start, with their counts in all documents and in target documents.
+    ends: how often a word is a document's last one, so that its count as a first token of a pair is the
+    difference and needs no key of its own. sizes: tokens of each document. known: the words of an explicit vocabulary, others
+    are the token that also stands before the first."""
 
     def __init__(self, texts: list[str | None], targets: list[bool | None], known: set[str] | None = None):
         split = [words(t or "") for t in texts]
@@ -68,18 +70,33 @@ class Tally:
         hashes = np.array([_START, *(_START if known is not None and w not in known else xxhash.xxh64_intdigest(w.encode()) for w in different)], np.uint64)
         second = encoded.indices.to_numpy().astype(np.int64) + 1
         first = np.concatenate(([0], second[:-1]))[:len(second)]
-        first[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = 0
-        target = np.repeat(np.array([bool(t) for t in targets], bool), self.sizes)
-        each, self.at = [], []
-        for kind, keys in ((_PAIR, _key(_PAIR, hashes[second], hashes[first])), (_AFTER, _key(_AFTER, hashes)[first]), (_ONE, _key(_ONE, hashes)[second])):
-            own, at = np.unique(keys, return_inverse=True)
-            self.at.append(at + sum(len(x[0]) for x in each))
-            each.append((own, np.bincount(at, minlength=len(own)), np.bincount(at[target], minlength=len(own))))
-        keys, *counts = (np.concatenate(x) for x in zip(*each))
+        full = self.sizes > 0
+        begins = (np.cumsum(self.sizes) - self.sizes)[full]
+        first[begins] = 0
+        last = second[np.cumsum(self.sizes)[full] - 1]
+        named = np.array([bool(t) for t in targets], bool)
+        target = np.repeat(named, self.sizes)
+
+        pairs, at_pair = np.unique(_key(_PAIR, hashes[second], hashes[first]), return_inverse=True)
+        ones, at_word = np.unique(_key(_ONE, hashes), return_inverse=True)  # the start, of which no text is a token, among them
+        keys = np.concatenate((pairs, ones, _key(_AFTER, np.array([_START], np.uint64))))
+        zero = np.zeros(len(pairs), np.int64)
+        self.counts, self.ends = (np.stack([np.concatenate(x) for x in both]) for both in (
+            [(np.bincount(at_pair[t], minlength=len(pairs)), np.bincount(at_word[second[t]], minlength=len(ones)), [n])
+             for t, n in ((slice(None), full.sum()), (target, (full & named).sum()))],
+            [(zero, np.bincount(at_word[x], minlength=len(ones)), [0]) for x in (last, last[named[full]])]))
         order = np.argsort(keys)
         place = np.empty(len(keys), np.int64)
         place[order] = np.arange(len(keys))
-        self.keys, self.counts, self.at = keys[order], np.stack(counts)[:, order], [place[x] for x in self.at]
+        self.keys, self.counts, self.ends = keys[order], self.counts[:, order], self.ends[:, order]
+        self.pair, word = place[at_pair], place[len(pairs) + at_word]
+        self.first, self.second, self.start = word[first], word[second], place[-1]
+        self.begins = hashes[first] == _START
+
+    def of_tokens(self, counts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Counts of each token's pair, of its first token as such, and of the token, from those of the keys."""
+        after = counts[self.first] - ends[self.first] + np.where(self.begins, counts[self.start], 0)
+        return counts[self.pair], after, counts[self.second]
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -106,7 +123,7 @@ def _keys(data: bytes) -> np.ndarray:
 
 
 def _dealt(rows: pa.Table, buckets: int, known: set[str] | None) -> pa.Table:
-    """chunk, bucket, keys, counts, target_counts: what a chunk has in each bucket of the key range, often nothing."""
+    """chunk, bucket, keys and their counts: what a chunk has in each bucket of the key range, often nothing."""
     tally = Tally(rows["text"].to_pylist(), rows["target"].to_pylist(), known)
     bucket = (tally.keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
     edges = np.searchsorted(bucket, np.arange(buckets + 1))
@@ -114,25 +131,24 @@ def _dealt(rows: pa.Table, buckets: int, known: set[str] | None) -> pa.Table:
     return pa.table({
         "chunk": pa.array([rows["chunk"][0].as_py()] * buckets, pa.int64()), "bucket": pa.array(range(buckets), pa.int32()),
         "keys": pa.array([_steps(tally.keys[a:b]) for a, b in parts], pa.binary()),
-        **{name: pa.array([_packed(own[a:b]) for a, b in parts], pa.binary()) for name, own in zip(("counts", "target_counts"), tally.counts)}})
+        **{name: pa.array([_packed(own[a:b]) for a, b in parts], pa.binary())
+           for name, own in zip(_COUNTS, (*tally.counts, *tally.ends))}})
 
 
 def _added(rows: pa.Table) -> pa.Table:
     """chunk, bucket, sums of its keys over all chunks, and the bucket's different words and tokens."""
     keys = [_keys(x) for x in rows["keys"].to_pylist()]
     every, at = np.unique(np.concatenate(keys), return_inverse=True)
-    sums = np.zeros((2, len(every)), np.int64)
-    for own, name in zip(sums, ("counts", "target_counts")):
-        counts = [_unpacked(x) for x in rows[name].to_pylist()]
-        np.add.at(own, at, np.concatenate(counts).astype(np.int64))
+    sums = np.zeros((len(_COUNTS), len(every)), np.int64)
+    for own, name in zip(sums, _COUNTS):
+        np.add.at(own, at, np.concatenate([_unpacked(x) for x in rows[name].to_pylist()]).astype(np.int64))
     one = every & np.uint64(3) == _ONE
     ends = np.cumsum([len(k) for k in keys])
     return pa.table({
         "chunk": rows["chunk"], "bucket": rows["bucket"],
-        **{name: pa.array([_packed(own[at[e - len(k):e]]) for k, e in zip(keys, ends)], pa.binary())
-           for name, own in zip(("sums", "target_sums"), sums)},
+        **{name: pa.array([_packed(own[at[e - len(k):e]]) for k, e in zip(keys, ends)], pa.binary()) for name, own in zip(_COUNTS, sums)},
         **{name: pa.array([int(x)] * len(keys), pa.int64())
-           for name, x in zip(("words", "background", "target"), (one.sum(), *sums[:, one].sum(axis=1)))}})
+           for name, x in zip(("words", "background", "target"), ((sums[0, one] > 0).sum(), *sums[:2, one].sum(axis=1)))}})
 
 
 def _log_share(pair: np.ndarray, after: np.ndarray, one: np.ndarray, total: int, size: int) -> np.ndarray:
@@ -164,18 +180,21 @@ def score(docs: DataFrame, targets: DataFrame, size: int | None = None) -> DataF
     place = F.floor(F.monotonically_increasing_id() / NEIGHBOURS)
     dealt = own.withColumn("chunk", F.pmod(F.xxhash64(place), F.lit(chunks))).join(wanted, "doc_id", "left")
     by_chunk = dealt.select("chunk", "doc_id", "target", "text").groupBy("chunk")
+    packed = ", ".join(f"{name} binary" for name in _COUNTS)
     sums = by_chunk.applyInArrow(
-        lambda rows: _dealt(rows, buckets, known), "chunk long, bucket int, keys binary, counts binary, target_counts binary"
+        lambda rows: _dealt(rows, buckets, known), f"chunk long, bucket int, keys binary, {packed}"
     ).groupBy("bucket").applyInArrow(
-        lambda rows: _added(rows), "chunk long, bucket int, sums binary, target_sums binary, words long, background long, target long")
+        lambda rows: _added(rows), f"chunk long, bucket int, {packed}, words long, background long, target long")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         right = right.sort_by("bucket")
-        every = [np.concatenate([_unpacked(x) for x in right[name].to_pylist()]) for name in ("sums", "target_sums")]
+        counts, target_counts, ends, target_ends = (
+            np.concatenate([_unpacked(x) for x in right[name].to_pylist()]).astype(np.int64) for name in _COUNTS)
         different, *totals = (sum(right[name].to_pylist()) for name in ("words", "background", "target"))
         tokens = max(VOCABULARY, different + 1)  # one more for what stands before the first word
         tally = Tally(left["text"].to_pylist(), left["target"].to_pylist(), known)
-        background, target = (_log_share(*(c[at] for at in tally.at), n, tokens) for c, n in zip(every, totals))
+        background, target = (_log_share(*tally.of_tokens(c, e), n, tokens)
+                              for c, e, n in zip((counts, target_counts), (ends, target_ends), totals))
         number = np.repeat(np.arange(len(tally.sizes)), tally.sizes)
         means = np.bincount(number, background - target, len(tally.sizes)) / np.maximum(tally.sizes, 1)
         return pa.table({"doc_id": left["doc_id"], "n_tokens": pa.array(tally.sizes),
