@@ -25,9 +25,9 @@ from pyspark.sql import types as T
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Bytes of encoded chunks, and of encoded pieces, that a task keeps, and the length beyond which they aren't kept. An entry
 #: takes ENTRY_BYTES beside its text and ids.
-CACHE_BYTES, MEMO_LENGTH, ENTRY_BYTES = 48 << 20, 64, 200
+CACHE_BYTES, MEMO_LENGTH, ENTRY_BYTES = 96 << 20, 64, 200
 #: Pairs of tokens whose compatibility is kept.
-CACHE_PAIRS = 250_000
+CACHE_PAIRS = 1_000_000
 #: Stands before the first token of a piece.
 _START = 2**31
 #: Rows put into one output batch.
@@ -51,17 +51,22 @@ class Codec:
         self.cut_spaces = cut_spaces
         self.shorter: dict[int, int | None] = {}
         self.fits: dict[int, bool] = {}
+        self.chunks = {}
         self.forget()
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for token, rank in ranks.items():
             self.automaton.add_word(token.decode("latin-1"), rank)
         self.automaton.make_automaton()
 
-    def forget(self) -> None:
-        """Empties the memos. Two generations each: what is used stays, and neither grows without bound."""
-        self.fits.clear()
-        self.chunks, self.old_chunks, self.pieces, self.old_pieces = {}, {}, {}, {}
+    def forget(self, kept: bool = False) -> None:
+        """Empties the memos, but for the newer chunks if they are to be kept: half of CACHE_BYTES at most.
+
+        Two generations each: what is used stays, and neither grows without bound.
+        """
+        self.old_chunks, self.chunks, self.old_pieces, self.pieces = self.chunks if kept else {}, {}, {}, {}
         self.chunk_bytes = self.piece_bytes = 0
+        if not kept or len(self.fits) > CACHE_PAIRS // 4:
+            self.fits.clear()
 
     def merged(self, piece: bytes) -> list[int]:
         """By definition: merge the neighbours of lowest rank until none are left. Only for short pieces."""
@@ -142,7 +147,14 @@ class Codec:
         return b"".join([known(p) or new(p) for p in self.pattern.findall(chunk)])
 
     def _after_space(self, chunk: str) -> bytes:
-        packed = self.old_chunks.get(chunk) or self._chunk(" " + chunk)
+        packed = self.old_chunks.get(chunk)
+        if packed is None:
+            found = self.pattern.findall(" " + chunk)
+            if len(found) == 1:  # kept as a chunk, so not as a piece too
+                ids = self.piece(found[0].encode())
+                packed = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                packed = b"".join([self.pieces.get(p) or self._piece(p) for p in found])
         if len(chunk) <= MEMO_LENGTH:
             self.chunk_bytes += ENTRY_BYTES + len(chunk) + len(packed)
             if 2 * self.chunk_bytes >= CACHE_BYTES:
@@ -166,7 +178,7 @@ _CODECS: dict[tuple, Codec] = {}
 
 
 def codec(path: str, pattern: str, cut_spaces: bool = True) -> Codec:
-    """One codec per worker process; its tables outlive a task, its memos do not."""
+    """One codec per worker process; its tables outlive a task, and of its memos what forget keeps."""
     key = (path, pattern, cut_spaces)
     if key not in _CODECS:
         _CODECS[key] = Codec(read_ranks(path), pattern, cut_spaces)
@@ -202,7 +214,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "t
                     yield pa.RecordBatch.from_arrays(
                         [*part.columns, *new], names=[*part.schema.names, "ids", "n_tokens", "decoded"])
         finally:
-            own.forget()  # the worker goes on to other tasks, of other operators too
+            own.forget(kept=True)  # the worker goes on to other tasks, of other operators too
 
     return docs.mapInArrow(run, schema)
 

@@ -69,6 +69,9 @@ def test_bpe_memory_is_bounded(monkeypatch, encoding):
     ids = encoding.encode_ordinary(text)
     assert own.encode(text) == struct.pack(f"<{len(ids)}I", *ids)
     assert len(own.chunks) <= 20 and len(own.pieces) <= 20 and len(own.fits) <= 30
+    own.forget(kept=True)
+    assert own.old_chunks and not (own.chunks or own.pieces or own.old_pieces)
+    assert own.encode(text) == struct.pack(f"<{len(ids)}I", *ids)
     own.forget()
     assert not (own.chunks or own.old_chunks or own.pieces or own.old_pieces or own.fits)
 
