@@ -78,7 +78,7 @@ def q_default(spark, folder):
 @query("rate_limit_stream", _replay_sql("key, request, ms, admitted, tokens_left, wait_ms"))
 def q_stream(spark, folder):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", stream_throttle.STATE_STORE)
-    source = stream_clean.page_stream(spark, folder, table(spark, folder, "events").schema, "events.parquet")
+    source = stream_clean.table_stream(spark, f"{folder}/events.parquet")
     log = source.select(
         F.col("user_id").alias("key"), F.col("event_id").alias("request"), T.epoch_ms(F.col("ts")).alias("ms"))
     path = scratch_folder(spark, "limited")
@@ -90,7 +90,7 @@ def q_stream(spark, folder):
 
 @query("stream_clean", f"select page_id, url, {Q.tags('html')} as text from pages")
 def q_stream_clean(spark, folder):
-    source = stream_clean.page_stream(spark, folder, table(spark, folder, "pages").schema, "pages.parquet")
+    source = stream_clean.table_stream(spark, f"{folder}/pages.parquet")
     path = scratch_folder(spark, "cleaned")
     stream_clean.start_clean(source, f"{path}/out", f"{path}/check").awaitTermination()
     return spark.read.parquet(f"{path}/out")
@@ -98,7 +98,7 @@ def q_stream_clean(spark, folder):
 
 @query("stream_markdown", f"select page_id, {_markdown_sql()} as text from pages")
 def q_stream_markdown(spark, folder):
-    source = stream_clean.page_stream(spark, folder, table(spark, folder, "pages").schema, "pages.parquet")
+    source = stream_clean.table_stream(spark, f"{folder}/pages.parquet")
     path = scratch_folder(spark, "markdown")
     stream_clean.start_markdown(source, f"{path}/out", f"{path}/check").awaitTermination()
     return spark.read.parquet(f"{path}/out").select("page_id", "text")

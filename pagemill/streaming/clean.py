@@ -13,6 +13,15 @@ def page_stream(spark: SparkSession, folder: str, schema, pattern="*.parquet", f
     return reader.parquet(folder)
 
 
+def table_stream(spark: SparkSession, path: str, files_per_trigger=None) -> DataFrame:
+    """A table as a stream, by the schema that it has as a batch: a folder of part files, or a single file."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    schema = spark.read.parquet(path).schema
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory():
+        return page_stream(spark, path, schema, files_per_trigger=files_per_trigger)
+    return page_stream(spark, place.getParent().toString(), schema, place.getName(), files_per_trigger)
+
+
 def clean_stream(pages: DataFrame, mode: str, html="html", out="text") -> DataFrame:
     """Row-local modes run on the stream itself."""
     moded = pages.withColumn("_mode", F.lit(mode))
