@@ -59,8 +59,12 @@ _PREVIOUS = "1 preceding"
 _FLUSH = f"(ev in ({_names(_FLUSHING)}) or ev = '{_END}')"
 
 
-def _events(pages: DataFrame, keys: list[str], html: str, others: list[str]) -> DataFrame:
+def _events(pages: DataFrame, keys: list[str], html: str, others: list[str], only: list[str] | None = None) -> DataFrame:
+    """Events of each page; with `only`, tags of other elements are left out before the page is exploded."""
     tokens = F.filter(H.token_array(escape_marks(F.col(html))), lambda t: ~t.rlike(_DROPPED))
+    if only is not None:
+        tag = rf"(?i)\A</?+(?:{'|'.join([*only, *_SKIP_NESTED, 'textarea'])})(?:[ \t\n\r/>]|\z)"
+        tokens = F.filter(tokens, lambda t: H.is_text(t) | t.rlike(tag))
     pieces = token_pieces(F.col(html), tokens)
     edge = F.struct(F.lit("").alias("token"), F.lit(True).alias("raw"))
     last = F.struct(F.lit(_END).alias("token"), F.lit(False).alias("raw"))

@@ -1,7 +1,7 @@
 """Structure tables: headings, links, images, lists, tables, quotes and other elements as rows.
 
-Elements that do not nest are cut out of the page by one expression, without a shuffle.
-Nesting elements use the event windows of the Markdown job, partitioned by page.
+Elements are intervals of the text that Markdown shows, found by running windows over the events of the Markdown job,
+partitioned by page; each table selects from them. Code blocks are cut out of the page by one expression.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -51,120 +51,50 @@ def _elements(pages: DataFrame, keys, html, names, nested_end=True) -> DataFrame
         F.regexp_extract("element", split, 2).alias("inner"))
 
 
-def _open_tags(pages: DataFrame, keys, html, name) -> DataFrame:
-    tags = F.filter(H.token_array(F.col(html)), lambda t: t.rlike(rf"(?i)\A<{name}(?:[ \t\n\r/>]|\z)"))
-    return pages.select(*keys, F.posexplode(tags).alias("idx", "open"))
-
-
-def _attr_of(tag: Column, name: str) -> Column:
-    return F.coalesce(let(H.tag_attributes(tag), lambda a: let(H.get_attr(a, name), decode_entities)), F.lit(""))
-
-
-def heading_outline(pages: DataFrame, keys=("page_id",), html="html") -> DataFrame:
-    """keys + (idx, level, text) in document order."""
-    return _elements(pages, keys, html, fixed.HEADINGS).select(
-        *keys, "idx", F.regexp_extract("open", r"(?i)\A<h([1-6])", 1).cast("int").alias("level"),
-        _tidy(_inner_text(F.col("inner"))).alias("text"))
-
-
-def page_links(pages: DataFrame, keys=("page_id",), html="html") -> DataFrame:
-    """keys + (idx, href, text); anchors without a target are left out."""
-    links = _elements(pages, keys, html, ["a"]).select(
-        *keys, "idx", _attr_of(F.col("open"), "href").alias("href"),
-        _tidy(_inner_text(F.col("inner"))).alias("text"))
-    return links.where(F.col("href") != "")
-
-
-def page_images(pages: DataFrame, keys=("page_id",), html="html") -> DataFrame:
-    """keys + (idx, src, alt, markdown)."""
-    images = _open_tags(pages, keys, html, "img").select(
-        *keys, "idx", _attr_of(F.col("open"), "src").alias("src"), _attr_of(F.col("open"), "alt").alias("alt"))
-    return images.withColumn("markdown", F.concat(
-        F.lit("!["), M._escape_alt(F.col("alt")), F.lit("]("), "src", F.lit(")")))
-
-
-def _first(values: Column) -> Column:
-    return F.coalesce(F.get(F.filter(values, lambda v: v != ""), 0), F.lit(""))
-
-
-def _inner_tags(inner: Column, name: str) -> Column:
-    return F.regexp_extract_all(inner, F.lit(rf"(?i)<{name}(?=[ \t\n\r/>]){_ATTRS}>?+"), F.lit(0))
-
-
-def page_pictures(pages: DataFrame, keys=("page_id",), html="html") -> DataFrame:
-    """keys + (idx, src, alt): the first source with an address, else the image."""
-
-    def address(tag):
-        srcset = _attr_of(tag, "srcset")
-        chosen = F.when(srcset != "", srcset).otherwise(_attr_of(tag, "src"))
-        return F.regexp_extract(chosen, r"\A\S*", 0)
-
-    found = _elements(pages, keys, html, ["picture"])
-    inner = F.col("inner")
-    source = _first(F.transform(_inner_tags(inner, "source"), address))
-    image = _first(F.transform(_inner_tags(inner, "img"), lambda t: _attr_of(t, "src")))
-    alt = _first(F.transform(_inner_tags(inner, "img"), lambda t: _attr_of(t, "alt")))
-    return found.select(*keys, "idx", let(source, lambda s: F.when(s != "", s).otherwise(image)).alias("src"),
-                        alt.alias("alt")).where(F.col("src") != "")
-
-
-def figure_captions(pages: DataFrame, keys=("page_id",), html="html") -> DataFrame:
-    """keys + (idx, src, caption) of figures."""
-    inner = F.col("inner")
-    caption = F.regexp_extract(inner, rf"(?is)<figcaption(?=[ \t\n\r>/]){_ATTRS}>?+(.*?)(?:</figcaption|\z)", 1)
-    image = _first(F.transform(_inner_tags(inner, "img"), lambda t: _attr_of(t, "src")))
-    return _elements(pages, keys, html, ["figure"]).select(
-        *keys, "idx", image.alias("src"), _tidy(_inner_text(caption)).alias("caption"))
-
-
 def code_blocks(pages: DataFrame, keys=("page_id",), html="html") -> DataFrame:
     """keys + (idx, code): text of pre elements with its whitespace."""
     return _elements(pages, keys, html, ["pre"]).select(
         *keys, "idx", _inner_text(F.col("inner")).alias("code"))
 
 
-def details_sections(pages: DataFrame, keys=("page_id",), html="html") -> DataFrame:
-    """keys + (idx, summary, body)."""
-    inner = F.col("inner")
-    summary = rf"(?is)<summary(?=[ \t\n\r>/]){_ATTRS}>?+(.*?)(?:</summary>|\z)"
-    return _elements(pages, keys, html, ["details"]).select(
-        *keys, "idx", _tidy(_inner_text(F.regexp_extract(inner, summary, 1))).alias("summary"),
-        _tidy(_inner_text(F.regexp_replace(inner, summary, ""))).alias("body"))
+# ---- nesting elements ---------------------------------------------------------------------
 
+def _visible_events(pages: DataFrame, keys, html, only=None) -> DataFrame:
+    """Events outside skip elements with `at`: the number of text characters before the event."""
+    events = M._with_attributes(M._without_skipped(M._events(pages, list(keys), html, [], only), list(keys)))
+    w = Window.partitionBy(*keys).orderBy("pos")
+    return events.withColumn("at", F.coalesce(F.sum(F.length("text")).over(_before(w)), F.lit(0)))
 
-def time_values(pages: DataFrame, keys=("page_id",), html="html") -> DataFrame:
-    """keys + (idx, name, value, text) of time and abbr elements with a value."""
-    found = _elements(pages, keys, html, ["time", "abbr"])
-    opened = F.col("open")
-    return found.select(
-        *keys, "idx", H.tag_name(opened).alias("name"),
-        F.when(H.tag_name(opened) == "time", _attr_of(opened, "datetime")).otherwise(_attr_of(opened, "title")).alias("value"),
-        _tidy(_inner_text(F.col("inner"))).alias("text")).where(F.col("value") != "")
 
+#: Characters of a block of page text. Offsets count characters, so a cut from a whole text would step through all before it.
+_BLOCK = 1024
 
-# ---- nesting elements ---------------------------------------------------------------------
 
-def _visible_events(pages: DataFrame, keys, html) -> DataFrame:
-    """Events with `at`: the number of text characters before the event."""
-    events = M._with_attributes(M._without_skipped(M._events(pages, list(keys), html, []), list(keys)))
-    w = Window.partitionBy(*keys).orderBy("pos")
-    return events.withColumn("at", F.coalesce(F.sum(F.length("text")).over(_before(w)), F.lit(0)))
+def _between(blocks: Column, start: Column, stop: Column) -> Column:
+    """Characters from start up to stop of a text in blocks; only the blocks that hold them are read."""
+    first = F.floor(start / _BLOCK).cast("int")
+    held = F.slice(blocks, first + 1, F.floor(stop / _BLOCK).cast("int") - first + 1)
+    return F.when(stop > start, F.substr(
+        F.array_join(held, ""), (start - first * _BLOCK + 1).cast("int"), (stop - start).cast("int"))).otherwise("")
 
 
-def _cut(rows: DataFrame, keys, span: Column, columns: list[str]) -> DataFrame:
+def _cut(rows: DataFrame, keys, span: Column, columns: list[str], texts=None) -> DataFrame:
     """Cut spans out of the page text, which is put together once per page.
 
-    `span` is a struct with start, stop and `columns`, null on rows that are no span.
+    `span` is a struct with start, stop and `columns`, null on rows that are no span. `texts` names the texts
+    to cut and how, from the page's blocks and a span; without it there is one, from start to stop.
     """
+    texts = texts or {"text": lambda page, s: _between(page, s["start"], s["stop"])}
     per_page = rows.groupBy(*keys).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(
             F.when(F.col("text") != "", F.struct("pos", "text")))), lambda t: t["text"]), "").alias("page_text"),
         F.collect_list(span).alias("spans"))
+    blocks = F.regexp_extract_all("page_text", F.lit(rf"(?s).{{1,{_BLOCK}}}"), F.lit(0))
+    per_page = per_page.where(F.size("spans") > 0).select(*keys, "spans", blocks.alias("blocks"))
     cut = F.transform("spans", lambda s: F.struct(
-        *[s[c].alias(c) for c in columns],
-        F.substr(F.col("page_text"), (s["start"] + 1).cast("int"), (s["stop"] - s["start"]).cast("int")).alias("text")))
+        *[s[c].alias(c) for c in columns], *[fn(F.col("blocks"), s).alias(name) for name, fn in texts.items()]))
     return per_page.select(*keys, F.explode(cut).alias("s")).select(
-        *keys, *[f"s.{c}" for c in columns], unescape_marks(_tidy(F.col("s.text"))).alias("text"))
+        *keys, *[f"s.{c}" for c in columns], *[unescape_marks(_tidy(F.col(f"s.{t}"))).alias(t) for t in texts])
 
 
 def list_items(pages: DataFrame, keys=("page_id",), html="html") -> DataFrame:
@@ -248,3 +178,142 @@ def table_rows(pages: DataFrame, keys=("page_id",), html="html") -> DataFrame:
     return rows.select(
         *keys, (F.dense_rank().over(tables) - 1).alias("table_idx"),
         (F.row_number().over(within) - 1).alias("row_idx"), "cells")
+
+
+# ---- elements as intervals ----------------------------------------------------------------
+#
+# An element is the interval of page text from its open tag to its end, beside its depth and the element
+# around it. All tables below select from these intervals, so they leave out what Markdown skips.
+
+def _ordered(keys, *also):
+    return Window.partitionBy(*keys, *also).orderBy("pos")
+
+
+def _nested(rows: DataFrame, keys, name: str) -> DataFrame:
+    """Adds NAME_depth; NAME_of: pos of the innermost such element around a row, itself included; and on open tags NAME_stop.
+
+    A stray end tag counts for nothing. An element that is not closed ends with the next of its name, else with the page.
+    """
+    w, ev = _ordered(keys), F.col("ev")
+    step = F.when(ev == name, 1).when(ev == "/" + name, -1).otherwise(0)
+    depth, level = f"{name}_depth", f"{name}_level"
+    rows = rows.withColumn("s", F.sum(step).over(_upto(w)))
+    rows = rows.withColumn("low", F.least(F.min("s").over(_upto(w)), F.lit(0)))
+    rows = rows.withColumn("before", F.coalesce(F.lag("low").over(w), F.lit(0))).withColumn(depth, F.col("s") - F.col("low"))
+    # An end tag has the level of what it closes; one that closes nothing has none.
+    rows = rows.withColumn(level, F.when(ev == name, F.col(depth)).when(
+        (ev == "/" + name) & (F.col("low") == F.col("before")), F.col(depth) + 1))
+    following = F.when(F.lead("ev").over(_ordered(keys, level)) == "/" + name, F.lead("at").over(_ordered(keys, level)))
+    own = ev == name
+    next_open = F.lead("at").over(_ordered(keys, own))
+    page_end = F.max("at").over(Window.partitionBy(*keys))
+    rows = rows.withColumn(f"{name}_stop", F.when(own, F.coalesce(following, next_open, page_end)))
+    around = F.last(F.when(own, F.col("pos")), True).over(_upto(_ordered(keys, depth)))
+    return rows.withColumn(f"{name}_of", F.when(F.col(depth) > 0, around)).drop("s", "low", "before", level)
+
+
+def _flat(rows: DataFrame, keys, names) -> DataFrame:
+    """Adds stop to open tags of elements that do not nest: their end tag or the next open tag of them."""
+    edge = F.col("ev").isin(*names, *("/" + n for n in names))
+    page_end = F.max("at").over(Window.partitionBy(*keys))
+    following = F.lead("at").over(Window.partitionBy(*keys, edge).orderBy("pos"))
+    return rows.withColumn("stop", F.when(F.col("ev").isin(*names), F.coalesce(following, page_end)))
+
+
+def _number(keys, names) -> Column:
+    """Number from 0 of an open tag among those of the names."""
+    return (F.count_if(F.col("ev").isin(*names)).over(_upto(_ordered(keys))) - 1).cast("int")
+
+
+def heading_outline(pages: DataFrame, keys=("page_id",), html="html") -> DataFrame:
+    """keys + (idx, level, text) in document order."""
+    names = fixed.HEADINGS
+    rows = _flat(_visible_events(pages, keys, html, names), keys, names).withColumn("idx", _number(keys, names))
+    span = F.when(F.col("ev").isin(*names), F.struct(
+        F.col("at").alias("start"), "stop", "idx", F.substring("ev", 2, 1).cast("int").alias("level")))
+    return _cut(rows, keys, span, ["idx", "level"])
+
+
+def page_links(pages: DataFrame, keys=("page_id",), html="html") -> DataFrame:
+    """keys + (idx, href, text); anchors without a target are left out."""
+    rows = _flat(_visible_events(pages, keys, html, ["a"]), keys, ["a"]).withColumn("idx", _number(keys, ["a"]))
+    span = F.when((F.col("ev") == "a") & (F.col("note") != ""), F.struct(
+        F.col("at").alias("start"), "stop", "idx", unescape_marks(F.col("note")).alias("href")))
+    return _cut(rows, keys, span, ["idx", "href"])
+
+
+def page_images(pages: DataFrame, keys=("page_id",), html="html") -> DataFrame:
+    """keys + (idx, src, alt, markdown)."""
+    images = _visible_events(pages, keys, html, ["img"]).withColumn("idx", _number(keys, ["img"])).where("ev = 'img'")
+    images = images.select(*keys, "idx", unescape_marks(F.col("src")).alias("src"), unescape_marks(F.col("note")).alias("alt"))
+    return images.withColumn("markdown", F.concat(
+        F.lit("!["), M._escape_alt(F.col("alt")), F.lit("]("), "src", F.lit(")")))
+
+
+def _first_of(event: str, column: str, window) -> Column:
+    """The first value of an event within a window that is not empty, else an empty text."""
+    given = (F.col("ev") == event) & (F.col(column) != "")
+    return F.coalesce(F.min(F.when(given, F.struct("pos", column))).over(window)[column], F.lit(""))
+
+
+def page_pictures(pages: DataFrame, keys=("page_id",), html="html") -> DataFrame:
+    """keys + (idx, src, alt): the first source with an address, else the image."""
+    rows = _visible_events(pages, keys, html, ["picture", "source", "img"]).withColumn("idx", _number(keys, ["picture"]))
+    edge = F.last(F.when(F.col("ev").isin("picture", "/picture"), F.struct("ev", "pos")), True).over(_upto(_ordered(keys)))
+    rows = rows.withColumn("of", F.when(edge["ev"] == "picture", edge["pos"]))
+    inside = Window.partitionBy(*keys, "of")
+    source, image, alt = _first_of("source", "src", inside), _first_of("img", "src", inside), _first_of("img", "note", inside)
+    found = rows.select(*keys, "idx", "ev", "of", source.alias("source"), image.alias("image"), alt.alias("alt")).where("ev = 'picture'")
+    src = F.when(F.col("source") != "", F.col("source")).otherwise(F.col("image"))
+    return found.select(*keys, "idx", unescape_marks(src).alias("src"), unescape_marks(F.col("alt")).alias("alt")).where(F.col("src") != "")
+
+
+def figure_captions(pages: DataFrame, keys=("page_id",), html="html") -> DataFrame:
+    """keys + (idx, src, caption): the first image and the first caption of each figure that stand in no figure inside it."""
+    rows = _visible_events(pages, keys, html, ["figure", "figcaption", "img"]).withColumn("idx", _number(keys, ["figure"]))
+    rows = _nested(_nested(rows, keys, "figure"), keys, "figcaption")
+    inside = Window.partitionBy(*keys, "figure_of")
+    caption = F.min(F.when(F.col("ev") == "figcaption", F.struct("pos", "at", "figcaption_stop"))).over(inside)
+    rows = rows.withColumns({"image": _first_of("img", "src", inside), "cap": caption})
+    # A caption that is not closed ends with its figure.
+    start = F.coalesce(F.col("cap.at"), F.col("at"))
+    span = F.when(F.col("ev") == "figure", F.struct(
+        start.alias("start"), F.coalesce(F.least("cap.figcaption_stop", "figure_stop"), start).alias("stop"),
+        "idx", unescape_marks(F.col("image")).alias("src")))
+    return _cut(rows, keys, span, ["idx", "src"]).withColumnRenamed("text", "caption")
+
+
+def details_sections(pages: DataFrame, keys=("page_id",), html="html") -> DataFrame:
+    """keys + (idx, summary, body): the body is all text but the section's own summary, sections inside it included whole."""
+    keys = list(keys)
+    rows = _visible_events(pages, keys, html, ["details", "summary"]).withColumn("idx", _number(keys, ["details"]))
+    rows = _nested(_nested(rows, keys, "details"), keys, "summary")
+    inside = Window.partitionBy(*keys, "details_of")
+    own = (F.col("ev") == "summary") & (F.col("summary_depth") == F.min("summary_depth").over(inside) + 1)
+    rows = rows.withColumn("own", own).withColumn("summaries", F.array_sort(F.collect_list(
+        F.when(F.col("own"), F.struct(F.col("at").alias("start"), F.col("summary_stop").alias("stop")))).over(inside)))
+    # A summary that is not closed ends with its section.
+    parts = F.transform("summaries", lambda s: F.struct(s["start"].alias("start"), F.least(s["stop"], F.col("details_stop")).alias("stop")))
+    rows = rows.withColumn("parts", F.when(F.col("ev") == "details", parts))
+    span = F.when(F.col("ev") == "details", F.struct("idx", F.col("at").alias("start"), F.col("details_stop").alias("stop"), "parts"))
+
+    def pieces(page, s):
+        starts = F.concat(F.array(s["start"]), F.transform(s["parts"], lambda p: p["stop"]))
+        stops = F.concat(F.transform(s["parts"], lambda p: p["start"]), F.array(s["stop"]))
+        return F.array_join(F.transform(F.arrays_zip(starts.alias("a"), stops.alias("b")), lambda p: _between(page, p["a"], p["b"])), "")
+
+    def summary(page, s):
+        return F.when(F.size(s["parts"]) > 0, _between(page, s["parts"][0]["start"], s["parts"][0]["stop"])).otherwise("")
+
+    return _cut(rows, keys, span, ["idx"], {"summary": summary, "body": pieces})
+
+
+def time_values(pages: DataFrame, keys=("page_id",), html="html") -> DataFrame:
+    """keys + (idx, name, value, text) of time and abbr elements with a value; either may stand inside the other."""
+    names = ["time", "abbr"]
+    rows = _visible_events(pages, keys, html, names).withColumn("idx", _number(keys, names))
+    rows = _nested(_nested(rows, keys, "time"), keys, "abbr")
+    span = F.when(F.col("ev").isin(*names) & (F.col("note") != ""), F.struct(
+        F.col("at").alias("start"), F.coalesce("time_stop", "abbr_stop").alias("stop"), "idx",
+        F.col("ev").alias("name"), unescape_marks(F.col("note")).alias("value")))
+    return _cut(rows, keys, span, ["idx", "name", "value"])

@@ -43,3 +43,22 @@ def rich_pages(spark, folder):
              '<time datetime="2024-01-0|1">first</time>, <abbr title="Language">|lang|</abbr></p><hr><hr>'
              '<noscript>none</noscript><p>End <b>open |doc_id|<br>tail</body></html>'.replace("0|1", "01")))
     return docs.select("doc_id", html.alias("html"))
+
+
+def nested_pages(spark, folder):
+    """(doc_id, html): a section for each line of a document, with elements inside elements of their kind and hidden ones."""
+    docs = spread(table(spark, folder, "documents", "doc_id", "text"), "doc_id")
+    section = (
+        "<h2>|line|</h2><noscript><h2>no</h2><a href='/no'>no</a><img src='/no.png'></noscript>"
+        "<template><template></template><h3>no</h3><a href='/no'>no</a><img src='/no.png'></template>"
+        "<a href='/l/|i|'>|line|</a><img src='/v/|i|.png' alt='v|i|'>"
+        "<details><summary>|line|</summary>A|i| <details><summary>In |i|</summary>B|i|</details> Z|i|</details>"
+        "<figure><img src='/o/|i|.png'><figure><img src='/n/|i|.png'><figcaption>|line|</figcaption></figure>"
+        "<figcaption>Out <b>|i|</b></figcaption></figure>"
+        "<time datetime='d|i|'>T|i| <abbr title='t|i|'>|line|</abbr> end</time>")
+
+    def filled(line, i):
+        values = {"line": escape(line), "i": (i + 1).cast("string")}
+        return F.concat(*[values[p] if n % 2 else F.lit(p) for n, p in enumerate(section.split("|"))])
+
+    return docs.select("doc_id", F.array_join(F.transform(F.split("text", "\n"), filled), "\n").alias("html"))

@@ -6,7 +6,7 @@ from pagemill.operators import structure as S
 from pagemill.operators.markdown import html_to_markdown
 from pagemill.plans import sql as Q
 from pagemill.plans.cleaning import pages
-from pagemill.plans.derived import rich_pages
+from pagemill.plans.derived import nested_pages, rich_pages
 from pagemill.plans.registry import query
 
 
@@ -105,6 +105,46 @@ def q_times(spark, folder):
     return S.time_values(rich_pages(spark, folder), ["doc_id"])
 
 
+@query("heading_outline_nested", f"select doc_id, i - 1 as idx, 2 as level, {one_line('line')} as text from {_LINES}")
+def q_headings_nested(spark, folder):
+    return S.heading_outline(nested_pages(spark, folder), ["doc_id"])
+
+
+@query("page_links_nested", f"select doc_id, i - 1 as idx, '/l/' || i as href, {one_line('line')} as text from {_LINES}")
+def q_links_nested(spark, folder):
+    return S.page_links(nested_pages(spark, folder), ["doc_id"])
+
+
+@query("page_images_nested", f"""
+select doc_id, 3 * (i - 1) + k as idx, '/' || substr('von', k + 1, 1) || '/' || i || '.png' as src,
+  case k when 0 then 'v' || i else '' end as alt,
+  '![' || case k when 0 then 'v' || i else '' end || '](/' || substr('von', k + 1, 1) || '/' || i || '.png)' as markdown
+from {_LINES}, (select unnest([0, 1, 2]) as k)""")
+def q_images_nested(spark, folder):
+    return S.page_images(nested_pages(spark, folder), ["doc_id"])
+
+
+@query("figure_captions_nested", f"""
+select doc_id, 2 * (i - 1) as idx, '/o/' || i || '.png' as src, 'Out ' || i as caption from {_LINES}
+union all select doc_id, 2 * i - 1, '/n/' || i || '.png', {one_line('line')} from {_LINES}""")
+def q_figures_nested(spark, folder):
+    return S.figure_captions(nested_pages(spark, folder), ["doc_id"])
+
+
+@query("details_sections_nested", f"""
+select doc_id, 2 * (i - 1) as idx, {one_line('line')} as summary, 'A' || i || ' In ' || i || 'B' || i || ' Z' || i as body from {_LINES}
+union all select doc_id, 2 * i - 1, 'In ' || i, 'B' || i from {_LINES}""")
+def q_details_nested(spark, folder):
+    return S.details_sections(nested_pages(spark, folder), ["doc_id"])
+
+
+@query("time_values_nested", f"""
+select doc_id, 2 * (i - 1) as idx, 'time' as name, 'd' || i as value, {one_line("'T' || i || ' ' || line || ' end'")} as text from {_LINES}
+union all select doc_id, 2 * i - 1, 'abbr', 't' || i, {one_line('line')} from {_LINES}""")
+def q_times_nested(spark, folder):
+    return S.time_values(nested_pages(spark, folder), ["doc_id"])
+
+
 @query("emphasis_spans", """
 select doc_id, v.name, v.marker, v.closed, v.text from documents, lateral (values
   ('em', '*', true, 'from'), ('em', '*', true, 'no'), ('strong', '**', true, lang), ('i', '*', true, source),
