@@ -410,3 +410,49 @@ def test_graph_widens_its_beam():
     i, j = graphs.links(graph, graph.vectors, 0.9, 32)
     true = (graph.vectors @ graph.vectors.T >= 0.9).sum()
     assert len(i) >= 0.97 * true
+
+
+def test_audit_sees_lost_links():
+    """A graph without edges finds nothing but entries: a node's link with itself does not hide that, and the beam takes in all."""
+    draw = np.random.default_rng(9)
+    graph = graphs.build(graphs.unit(draw.normal(size=(400, 16))))
+    width, true, found, hit = graphs.audited(graph, 0.9)
+    assert width < 400 and true >= 128 and found >= 0.99 * true and hit >= 0.9
+    broken = graphs.Graph(graph.vectors, [np.full_like(x, -1) for x in graph.layers], graph.entry)
+    width, true, found, hit = graphs.audited(broken, 0.9)
+    assert width == 400 and found < 0.1 * true
+
+
+def test_forest():
+    draw = np.random.default_rng(10)
+    pairs = draw.integers(0, 400, size=(300, 2)) * 7 - 100
+    edges = graphs._forest(pairs)
+    nodes = set(pairs.ravel().tolist())
+    assert len(edges) < len(nodes)
+    assert union(nodes, edges.tolist()) == union(nodes, pairs.tolist())
+    assert len(graphs._forest(np.empty((0, 2), np.int64))) == 0
+
+
+def test_vectors_query_against_all_pairs(spark, tmp_path):
+    """The query over a whole table, to which copies at a cosine around 0.9 are added."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()
+    own = np.array([r["embedding"] for r in rows], float)
+    draw = np.random.default_rng(11)
+    noise = draw.normal(size=own[:600].shape)
+    noise *= (np.linalg.norm(own[:600], axis=1) / np.linalg.norm(noise, axis=1))[:, None]
+    added = own[:600] + noise * np.linspace(0.05, 0.6, 600)[:, None]
+    all_rows = [(r["vec_id"], [float(x) for x in r["embedding"]]) for r in rows] + [(10**6 + i, [float(x) for x in v]) for i, v in enumerate(added)]
+    table(spark, all_rows, "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {r["vec_id"]: r for r in queries.QUERIES["op8_embedding_near_dedup"](spark, str(tmp_path)).collect()}
+    unit = np.array([v for _, v in all_rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    ids = [a for a, _ in all_rows]
+    linked = [(ids[i], ids[j]) for i, j in zip(*np.nonzero(unit @ unit.T >= 0.9)) if i < j]
+    degree = Counter(x for pair in linked for x in pair)
+    want = union(set(ids), linked)
+    assert len(got) == len(ids) and len(linked) > 400
+    assert sum(got[a]["n_links"] == degree[a] for a in ids) >= 0.99 * len(ids)
+    assert all(got[a]["n_links"] <= degree[a] for a in ids)
+    assert sum(got[a]["component_id"] == want[a] for a in ids) >= 0.99 * len(ids)
+    assert sum(got[a]["n_links"] for a in ids) >= 0.98 * sum(degree.values())
+    assert got[ids[0]]["audit_recall"] >= 0.99
