@@ -75,19 +75,44 @@ def q_default(spark, folder):
     return T.rate_limit_replay(log, "key", "ms", "request").select("request", "admitted", "tokens_left", "wait_ms")
 
 
-@query("rate_limit_stream", _replay_sql("key, request, ms, admitted, tokens_left, wait_ms"))
-def q_stream(spark, folder):
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", stream_throttle.STATE_STORE)
-    source = stream_clean.table_stream(spark, f"{folder}/events.parquet")
-    log = source.select(
+def _streamed(spark, folder, keep=None, initial=None):
+    """Decisions of a stream over the events; the state store that it needs is set for this query alone."""
+    log = stream_clean.table_stream(spark, f"{folder}/events.parquet").select(
         F.col("user_id").alias("key"), F.col("event_id").alias("request"), T.epoch_ms(F.col("ts")).alias("ms"))
-    path = scratch_folder(spark, "limited")
-    (stream_throttle.rate_limit_stream(log, MAX, WINDOW).writeStream.format("parquet")
-     .option("path", f"{path}/out").option("checkpointLocation", f"{path}/check")
-     .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+    log = log if keep is None else log.where(keep)
+    path, name = scratch_folder(spark, "limited"), "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, stream_throttle.STATE_STORE)
+    try:
+        run = (stream_throttle.rate_limit_stream(log, MAX, WINDOW, initial=initial).writeStream.format("parquet")
+               .option("path", f"{path}/out").option("checkpointLocation", f"{path}/check")
+               .outputMode("append").trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(name, before)
+    run.awaitTermination()
     return spark.read.parquet(f"{path}/out")
 
 
+@query("rate_limit_stream", _replay_sql("key, request, ms, admitted, tokens_left, wait_ms"))
+def q_stream(spark, folder):
+    return _streamed(spark, folder)
+
+
+_MIDDLE = "(min(epoch_us(ts) // 1000) + max(epoch_us(ts) // 1000)) // 2"
+
+
+@query("rate_limit_resumed", _replay_sql("key, request, ms, admitted, tokens_left, wait_ms")
+       + f" where ms >= (select {_MIDDLE} from events)")
+def q_resumed(spark, folder):
+    """The earlier half of the time as a batch, the later half as a stream that goes on from its state."""
+    log = request_log(spark, folder)
+    middle = log.agg(F.floor((F.min("ms") + F.max("ms")) / 2)).first()[0]
+    if middle is None:
+        return _streamed(spark, folder)
+    history = T.rate_limit_replay(log.where(F.col("ms") < middle), "key", "ms", "request", MAX, WINDOW)
+    return _streamed(spark, folder, F.col("ms") >= middle, stream_throttle.bucket_states(history))
+
+
 @query("stream_clean", f"select page_id, url, {Q.tags('html')} as text from pages")
 def q_stream_clean(spark, folder):
     source = stream_clean.table_stream(spark, f"{folder}/pages.parquet")
