@@ -1,8 +1,9 @@
 """Size metrics, the fetch report and size reduction per host."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pagemill.functions.urls import host
+from pagemill.sources.bodies import scratch_folder
 
 
 def line_count(text: Column) -> Column:
@@ -72,25 +73,86 @@ def raw_report(body_file: Column = None) -> Column:
                     F.lit("\n"), shown, header_lines, failed)
 
 
-def reduction(sizes: DataFrame) -> DataFrame:
-    """Rollup over (host, mode) of rows (host, mode, raw_bytes, stripped_bytes).
+def exact_quantile(counted: DataFrame, keys: list[str], value: str, n: str, share: float, out: str) -> DataFrame:
+    """The exact discrete quantile of each group: the smallest value that at least `share` of the rows do not exceed.
 
-    Sums combine map-side, so a host with a third of all pages is a handful of partial rows.
+    counted holds rows (keys, value, n): a whole-number value of 0 or more and how often it occurs; null values count
+    nothing and null keys are a group. The histogram is refined from bins of 4 million values to bins of 2,048 to
+    single ones, so no pass sorts more than some thousand bins of a group, however many rows the group has.
     """
-    return (
-        sizes.rollup("host", "mode")
-        .agg(F.count("*").alias("pages"), F.sum("raw_bytes").alias("raw_bytes"),
-             F.sum("stripped_bytes").alias("stripped_bytes"),
-             F.percentile_approx("stripped_bytes", 0.5, 10000).alias("median_bytes"))
-        .withColumn("kept", F.round(F.col("stripped_bytes") / F.col("raw_bytes"), 6))
-    )
+    names = [f"k{i}" for i in range(len(keys))]
+    rows = counted.where(F.col(value).isNotNull()).select(
+        *[F.col(k).alias(a) for k, a in zip(keys, names)], F.col(value).cast("bigint").alias("v"), F.col(n).alias("n"))
+    found = None
+    for shift in (22, 11, 0):
+        binned = rows.withColumn("bin", F.shiftright("v", shift))
+        if found is not None:
+            # Only rows of the bin that holds the group's rank go on.
+            before = found.select(*[F.col(a).alias(f"f_{a}") for a in names], F.col("bin").alias("outer"), "rank")
+            same = F.shiftright("v", last) == F.col("outer")
+            for a in names:
+                same = same & F.col(a).eqNullSafe(F.col(f"f_{a}"))
+            binned = binned.join(before, same).select(*names, "v", "n", "bin", "rank")
+        given = [] if found is None else [F.first("rank").alias("rank")]
+        bins = binned.groupBy(*names, "bin").agg(F.sum("n").alias("n"), *given)
+        group = Window.partitionBy(*names)
+        upto = F.sum("n").over(group.orderBy("bin"))
+        if found is None:
+            bins = bins.withColumn("rank", F.greatest(F.lit(1), F.ceil(F.sum("n").over(group) * F.lit(share))))
+        found = (bins.withColumn("upto", upto).where("rank <= upto and rank > upto - n")
+                 .select(*names, "bin", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank")))
+        last = shift
+    return found.select(*[F.col(a).alias(k) for k, a in zip(keys, names)], F.col("bin").alias(out))
 
 
-def reduction_by_host(pages: DataFrame, modes: dict, url="url", html="html") -> DataFrame:
-    """How much each row-local strip mode shrinks pages, per host and in total."""
+def reduction(sizes: DataFrame) -> DataFrame:
+    """Totals per (host, mode), per host and over all of rows (host, mode, raw_bytes, stripped_bytes), with exact medians.
+
+    Equal sizes are combined map-side first, so a host with a third of all pages is at most as many rows as it has sizes.
+    These counts are written to the shared scratch folder: totals and each pass of the medians read them, the pages are
+    cleaned once.
+    """
+    spark = sizes.sparkSession
+    folder = scratch_folder(spark, "sizes")
+    sizes.groupBy("host", "mode", "stripped_bytes").agg(
+        F.count("*").alias("n"), F.sum("raw_bytes").alias("raw_bytes")).write.parquet(folder)
+    counted = spark.read.parquet(folder)
+    nothing = F.lit(None).cast("string")
+    levels = F.array(
+        F.struct(F.lit(0).alias("level"), F.col("host").alias("host"), F.col("mode").alias("mode")),
+        F.struct(F.lit(1).alias("level"), F.col("host").alias("host"), nothing.alias("mode")),
+        F.struct(F.lit(2).alias("level"), nothing.alias("host"), nothing.alias("mode")))
+    rows = counted.select(F.explode(levels).alias("of"), "stripped_bytes", "n", "raw_bytes").select(
+        "of.*", "stripped_bytes", "n", "raw_bytes")
+    keys = ["level", "host", "mode"]
+    totals = rows.groupBy(*keys).agg(
+        F.sum("n").alias("pages"), F.sum("raw_bytes").alias("raw_bytes"),
+        F.sum(F.col("stripped_bytes") * F.col("n")).alias("stripped_bytes"))
+    medians = exact_quantile(rows, keys, "stripped_bytes", "n", 0.5, "median_bytes").select(
+        *[F.col(k).alias(f"m_{k}") for k in keys], "median_bytes")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"m_{k}"))
+    return totals.join(medians, same, "left").select(
+        "host", "mode", "pages", "raw_bytes", "stripped_bytes", "median_bytes",
+        F.round(F.col("stripped_bytes") / F.col("raw_bytes"), 6).alias("kept"))
+
+
+def reduction_by_host(pages: DataFrame, modes: dict, url="url", html="html", markdown_keys=None) -> DataFrame:
+    """How much each strip mode shrinks pages, per host and in total: the row-local modes given, and Markdown
+    where markdown_keys name the columns that identify a page."""
+    by_host = host(F.col(url)).alias("host")
     sizes = pages.select(
-        host(F.col(url)).alias("host"), F.octet_length(html).alias("raw_bytes"),
+        by_host, F.octet_length(html).alias("raw_bytes"),
         F.explode(F.array(*[
             F.struct(F.lit(m).alias("mode"), F.octet_length(fn(F.col(html))).alias("stripped_bytes"))
-            for m, fn in modes.items()])).alias("m"))
-    return reduction(sizes.select("host", "m.mode", "raw_bytes", "m.stripped_bytes"))
+            for m, fn in modes.items()])).alias("m")).select("host", "m.mode", "raw_bytes", "m.stripped_bytes")
+    if markdown_keys:
+        from pagemill.operators.markdown import html_to_markdown
+
+        # The host and the size go through the plan in place of the URL, so the page itself is not read twice.
+        narrow = pages.select(*markdown_keys, html, by_host, F.octet_length(html).alias("raw_bytes"))
+        text = html_to_markdown(narrow, [*markdown_keys, "host", "raw_bytes"], html, "text")
+        sizes = sizes.unionByName(text.select(
+            "host", F.lit("html2md").alias("mode"), "raw_bytes", F.octet_length("text").alias("stripped_bytes")))
+    return reduction(sizes)

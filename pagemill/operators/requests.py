@@ -19,8 +19,21 @@ def build_headers(custom: Column) -> Column:
 
 
 def parse_headers(text: Column) -> Column:
-    """Headers given as a JSON object; null when they are not one."""
-    return F.from_json(text, "map<string,string>")
+    """Headers given as a JSON object; null when the whole text is not one. The last value of a name counts.
+
+    The text is parsed as the first item of an array that ends with an object named by the text's own digest:
+    anything before, between or after would give another array.
+    """
+    mark = F.sha2(text, 256)
+    items = F.from_json(
+        F.concat(F.lit("["), text, F.lit(',{"'), mark, F.lit('":""}]')), "array<map<string,string>>",
+        {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"})
+    whole = (F.size(items) == 2) & (F.element_at(F.map_keys(F.get(items, F.lit(1))), 1) == mark)
+    by_name = F.array_sort(F.transform(
+        F.map_entries(F.get(items, F.lit(0))),
+        lambda e, i: F.struct(e["key"].alias("key"), (-i).alias("place"), e["value"].alias("value"))))
+    last = F.filter(by_name, lambda e, i: (i == 0) | (F.get(by_name, i - 1)["key"] != e["key"]))
+    return F.when(whole, F.map_from_entries(F.transform(last, lambda e: F.struct(e["key"], e["value"]))))
 
 
 def timeout_ms(seconds: Column) -> Column:
@@ -52,7 +65,8 @@ def add_content_type(headers: Column, tool: str) -> Column:
 def request_manifest(requests: DataFrame, tool="fetch", allow_private=False) -> DataFrame:
     """Adds headers, body, has_body, timeout_ms and error (null for a request that may go out).
 
-    Expects url, method, headers_json, body, body_file and timeout_s.
+    Expects url, method, headers_json, body, body_file and timeout_s. For raw requests, file_error (see
+    `bodies.load_bodies`) is an error as well, and a body that was read from a file counts as the body.
     """
     given = F.coalesce(F.col("headers_json"), F.lit(""))
     bad_json = (given != "") & F.col("custom").isNull()
@@ -63,10 +77,12 @@ def request_manifest(requests: DataFrame, tool="fetch", allow_private=False) ->
     if tool == "fetch":
         error = F.coalesce(url_error, F.when(bad_json, json_error))
     else:
-        both = (F.coalesce("body", F.lit("")) != "") & (F.coalesce("body_file", F.lit("")) != "")
+        read = F.col("file_error") if "file_error" in requests.columns else F.lit(None).cast("string")
+        from_file = F.col("from_file") if "from_file" in requests.columns else F.lit(False)
+        both = (F.coalesce("body", F.lit("")) != "") & (F.coalesce("body_file", F.lit("")) != "") & ~from_file
         error = F.coalesce(
             F.when(bad_json, json_error), url_error,
-            F.when(both, "Cannot specify both http_request_body and http_request_body_file"))
+            F.when(both, "Cannot specify both http_request_body and http_request_body_file"), read)
     rows = rows.select(
         *requests.columns,
         build_headers(F.col("custom")).alias("base"), error.alias("error"),

@@ -258,3 +258,11 @@ def _markdown_sql():
 @query("strip_html2md", f"select page_id, {_markdown_sql()} as text from pages")
 def q_markdown(spark, folder):
     return html_to_markdown(table(spark, folder, "pages", "page_id", "html"), ["page_id"], out="text")
+
+
+@query("reduction_all_modes", _reduction_sql(
+    f" union all select url, 'html2md', strlen(html), strlen(text) from (select url, html, {_markdown_sql()} as text from pages)"))
+def q_reduction_all_modes(spark, folder):
+    """All five modes, Markdown among them."""
+    rows = table(spark, folder, "pages", "page_id", "url", "html")
+    return metrics.reduction_by_host(rows, clean.ROW_LOCAL, markdown_keys=["page_id"])

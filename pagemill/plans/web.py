@@ -2,13 +2,14 @@
 
 from pyspark.sql import functions as F
 
+from pagemill.fixed import BODY_EXTENSIONS
 from pagemill.functions.urls import host, is_private_host, validate_url
 from pagemill.operators import requests as rq, responses as rs
 from pagemill.operators.clean import resolve_strip
 from pagemill.plans import sql as Q
 from pagemill.plans.registry import query
 from pagemill.session import spread, table
-from pagemill.sources.bodies import body_sink, body_source, scratch_folder
+from pagemill.sources.bodies import body_sink, body_source, load_bodies, scratch_folder, store_bodies, stored_bodies
 from pagemill.sources.responses import response_headers, response_log
 
 R = Q.RESPONSES
@@ -126,6 +127,54 @@ def q_body_source(spark, folder):
         F.when(F.col("body").isNull(), F.concat(F.lit("Failed to read body file: "), "body_file")).alias("error"))
 
 
+@query("body_store", f"""
+select source, id, strlen(raw_text) as body_bytes, sha256(raw_text) as body_sha256, raw_text is not null as stored,
+  case when raw_text is null then null else md5(raw_text) end as digest
+from {R}""")
+def q_body_store(spark, folder):
+    """Bodies of all sources stored by content in two runs, the second of which finds the first one's bodies."""
+    path = scratch_folder(spark, "store")
+    log = response_log(spark, folder).select("source", "id", "raw_text")
+    first = store_bodies(log.where("source in ('pages', 'documents')"), ["source", "id"], "raw_text", path)
+    second = store_bodies(log.where("source not in ('pages', 'documents')"), ["source", "id"], "raw_text", path)
+    held = stored_bodies(spark, path).select(
+        "body_sha256", "body_path", F.md5(F.encode("body", "UTF-8")).alias("digest"))
+    return first.unionByName(second).join(held, ["body_sha256", "body_path"], "left").select(
+        "source", "id", "body_bytes", "body_sha256", F.col("body_path").isNotNull().alias("stored"), "digest")
+
+
+_FILE_ERROR = f"""case when event_id % 7 = 3 then
+  'Failed to read body file: File extension ".exe" is not allowed for read operation. Allowed: {", ".join(BODY_EXTENSIONS)}'
+  when b.item_id is null then 'Failed to read body file: File not found: items/' || (user_id % 300) || '.json' end"""
+
+
+@query("request_manifest_files", f"""
+select event_id, strlen(b.text) as body_bytes, md5(b.text) as digest, b.text is not null and event_type <> 'view' as has_body,
+  coalesce(case when event_type = 'error' then {_BLOCKED} end,
+           case when event_type = 'click' then 'Cannot specify both http_request_body and http_request_body_file' end,
+           {_FILE_ERROR}) as error
+from events left join benchmark b on event_type <> 'click' and user_id % 300 = b.item_id and event_id % 7 <> 3""")
+def q_request_manifest_files(spark, folder):
+    """Raw requests that name a body file each: the files hold the benchmark texts; clicks give a body as well."""
+    items = table(spark, folder, "benchmark").select(
+        F.concat(F.lit("items/"), "item_id", F.lit(".json")).alias("body_file"), F.col("text").alias("body"))
+    clicked = F.col("event_type") == "click"
+    requests = table(spark, folder, "events", "event_id", "user_id", "event_type", "props").select(
+        "event_id",
+        F.when(F.col("event_type") == "error", F.concat(F.lit("http://10.0.0."), F.col("user_id") % 256, F.lit("/x")))
+        .otherwise("https://api.example.net/").alias("url"),
+        F.when(F.col("event_type") == "view", "GET").otherwise("POST").alias("method"),
+        F.lit(None).cast("string").alias("headers_json"), F.lit(None).cast("int").alias("timeout_s"),
+        F.when(clicked, F.col("props")).alias("body"),
+        F.concat(F.lit("items/"), F.col("user_id") % 300,
+                 F.when(F.col("event_id") % 7 == 3, ".exe").otherwise(".json")).alias("body_file"))
+    rows = rq.request_manifest(load_bodies(requests, items), "raw")
+    sent = F.when(F.col("from_file"), F.col("body"))
+    return rows.select(
+        "event_id", F.octet_length(sent).cast("bigint").alias("body_bytes"), F.md5(F.encode(sent, "UTF-8")).alias("digest"),
+        (F.col("has_body") & F.col("from_file")).alias("has_body"), "error")
+
+
 # ---- URL checks ---------------------------------------------------------------------
 # Each page URL and its variants: (label, Spark expression, SQL expression, SQL of the error).
 _REST = "regexp_replace(url, '^https?://', '')"
@@ -293,15 +342,18 @@ def q_size_limit(spark, folder):
 
 @query("raw_report", f"""
 select source, id, 'HTTP ' || status || chr(10) || 'Method: GET' || chr(10) || 'URL: ' || url || chr(10)
-  || 'Body size: ' || ({Q.size('strlen(raw_text)')}) || ' bytes' || chr(10) || '---' || chr(10) || raw_text
+  || case when strlen(raw_text) between 1 and 5000 then
+       'Body size: ' || ({Q.size('strlen(raw_text)')}) || ' bytes' || chr(10) || '---' || chr(10) || raw_text else '' end
   || chr(10) || chr(10) || 'Response Headers:' || chr(10) || '  Content-Type: ' || content_type || chr(10)
   || '  Content-Length: ' || size || chr(10)
   || case when strlen(raw_text) > 5000 then chr(10) || 'Error: Response body (' || strlen(raw_text) || ' bytes) exceeds limit (5000 bytes)' || chr(10) else '' end as report
-from {R} where source = 'conversations' or source = 'documents'""")
+from (select * replace (coalesce(raw_text, '') as raw_text) from {R})""")
 def q_raw_report(spark, folder):
+    """Raw requests of all sources; a body over the limit is refused, so the report has the error in its place."""
     from pagemill.operators.metrics import raw_report
-    rows = response_log(spark, folder, ("documents", "conversations")).select(
+    refused = rs.size_limit_error(F.col("raw_text"), F.lit(5000))
+    rows = response_log(spark, folder).select(
         "source", "id", "status", F.lit("GET").alias("method"), "url", "headers",
-        F.col("raw_text").alias("body"), F.lit("").alias("body_file"),
-        rs.size_limit_error(F.col("raw_text"), F.lit(5000)).alias("error"))
+        F.when(refused.isNull(), F.col("raw_text")).otherwise("").alias("body"), F.lit("").alias("body_file"),
+        refused.alias("error"))
     return rows.select("source", "id", raw_report().alias("report"))
