@@ -77,14 +77,14 @@ def exact_quantile(counted: DataFrame, keys: list[str], value: str, n: str, shar
     """The exact discrete quantile of each group: the smallest value that at least `share` of the rows do not exceed.
 
     counted holds rows (keys, value, n): a whole-number value of 0 or more and how often it occurs; null values count
-    nothing and null keys are a group. The histogram is refined from bins of 4 million values to bins of 2,048 to
-    single ones, so no pass sorts more than some thousand bins of a group, however many rows the group has.
+    nothing and null keys are a group. The histogram is refined from bins of 4,096 values to single ones, so a pass
+    sorts few bins of a group (half a million for sizes of up to 2 GB), however many rows the group has.
     """
     names = [f"k{i}" for i in range(len(keys))]
     rows = counted.where(F.col(value).isNotNull()).select(
         *[F.col(k).alias(a) for k, a in zip(keys, names)], F.col(value).cast("bigint").alias("v"), F.col(n).alias("n"))
     found = None
-    for shift in (22, 11, 0):
+    for shift in (12, 0):
         binned = rows.withColumn("bin", F.shiftright("v", shift))
         if found is not None:
             # Only rows of the bin that holds the group's rank go on.

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pagemill.functions.entities import decode_entities
 from pagemill.functions.text import collapse_lines
 from pagemill.operators import clean, limits, metrics, tokens
+from pagemill.operators.fetch import fetch_job
 from pagemill.operators.markdown import html_to_markdown
 from pagemill.plans import sql as Q
 from pagemill.plans.registry import query
@@ -266,3 +267,46 @@ def q_reduction_all_modes(spark, folder):
     """All five modes, Markdown among them."""
     rows = table(spark, folder, "pages", "page_id", "url", "html")
     return metrics.reduction_by_host(rows, clean.ROW_LOCAL, markdown_keys=["page_id"])
+
+
+# ---- a whole fetch job --------------------------------------------------------------------
+_ASKED = "['none', 'whitespace', 'attributes', 'tags', 'html2md']"
+_FETCHED_SQL = f"""
+select source, id, asked, blocked, final_url, case when blocked then 0 else status end as status,
+  case when blocked then '' else content_type end as content_type, size,
+  case when blocked then asked when source = 'pages' then asked else 'none' end as applied,
+  case when blocked then '' when source = 'embeddings'
+    then '[Binary content: ' || content_type || ', ' || size || ' bytes. Use raw_http_request for binary downloads.]'
+    else raw_text end as body
+from (select *, {_ASKED}[(id % 5)::int + 1] as asked, source = 'events' and status = 503 as blocked from {R})"""
+_CLEANED_SQL = f"""
+select *, case when source <> 'pages' then body when asked = 'whitespace' then {Q.whitespace('body')}
+  when asked = 'attributes' then {Q.attributes('body')} when asked = 'tags' then {Q.tags('body')}
+  when asked = 'html2md' then {_markdown_sql().replace('html,', 'body,', 1)} else body end as t
+from ({_FETCHED_SQL})"""
+_LIMITED_SQL = f"""
+select *, case when strlen(t) <= 200000 and len(l) <= 5000 then len(l) else len(list_filter(range(1, least(len(l), 5000) + 1),
+  lambda i: strlen(array_to_string(list_slice(l, 1, i), chr(10))) <= 200000)) end as n
+from (select *, string_split(t, chr(10)) as l from ({_CLEANED_SQL}))"""
+_SHOWN = "case when n = len(l) then t else array_to_string(list_slice(l, 1, n), chr(10)) end"
+
+
+@query("http_fetch_report", f"""
+select source, id, status, blocked or status >= 400 as is_error, asked as requested, applied, strlen(body) as raw_bytes,
+  strlen(t) as stripped_bytes, len(l) as stripped_lines, n < len(l) as truncated, n as output_lines,
+  'HTTP ' || status || ' ' || final_url || chr(10) || 'Content-Type: ' || content_type || chr(10)
+  || 'Raw size: ' || ({Q.size('strlen(body)')}) || ' (' || length(body) || ' chars)' || chr(10)
+  || case when applied <> 'none' then 'Strip: ' || applied || ' → ' || ({Q.size('strlen(t)')}) || ' (' || length(t) || ' chars)' || chr(10)
+       when asked <> 'none' and source <> 'pages' then 'Strip: ' || asked || ' (skipped, non-HTML content) → '
+         || ({Q.size('strlen(t)')}) || ' (' || length(t) || ' chars)' || chr(10) else '' end
+  || 'Lines: ' || len(l) || chr(10) || chr(10) || 'Response Headers:' || chr(10)
+  || case when blocked then '' else '  Content-Type: ' || content_type || chr(10) || '  Content-Length: ' || size || chr(10) end
+  || '---' || chr(10) || {_SHOWN}
+  || case when n < len(l) then chr(10) || chr(10) || '[Output truncated: ' || n || ' of ' || len(l) || ' lines ('
+       || ({Q.size(f'strlen({_SHOWN})')}) || ' of ' || ({Q.size('strlen(t)')}) || ').]' else '' end as report
+from ({_LIMITED_SQL})""")
+def q_http_fetch_report(spark, folder):
+    """Fetch jobs over all sources, each response with one of the five modes, at the default limits."""
+    log = response_log(spark, folder).withColumn(
+        "asked", F.element_at(F.array(*[F.lit(m) for m in Q.STRIP_MODES]), (F.col("id") % 5 + 1).cast("int")))
+    return fetch_job(log, "asked", ["source", "id"]).drop("final_url")
