@@ -139,6 +139,42 @@ def test_terms_are_looked_up_by_their_rarest_gram(spark):
     assert {(r["page_id"], r["term_id"]) for r in found} == {(i, i) for i in range(200)}
 
 
+def test_places_of_terms_in_pieces(spark, monkeypatch):
+    """Terms longer than the characters kept around a place, pieces of few characters, wide characters, both join paths."""
+    monkeypatch.setattr(search, "PIECE", 7)
+    monkeypatch.setattr(search, "AROUND", 5)
+    random.seed(8)
+    texts = ["".join(random.choice("ab\U0001F600\0 ") for _ in range(random.randint(0, 50))) for _ in range(30)]
+    terms = ["a", "ab", "b\0", "\U0001F600a", *[t[i:i + n] for t in texts[:12] for i, n in ((0, 9), (3, 17), (1, 6), (0, 50))]]
+    terms = [t for t in terms if t]
+    pages = spark.createDataFrame(list(enumerate(texts)), "page_id int, text string")
+    asked = spark.createDataFrame([(i, t, 5, "none") for i, t in enumerate(terms)], TERMS)
+    want = sorted((p, i, at) for p, text in enumerate(texts) for i, term in enumerate(terms) for at in overlaps(text, term))
+    for limit in (50_000, 0):
+        monkeypatch.setattr(search, "BROADCAST_TERMS", limit)
+        found = search.find_matches(pages, asked, ["page_id"]).collect()
+        assert sorted((r["page_id"], r["term_id"], r["start"]) for r in found) == want
+
+
+def test_equal_terms_and_equal_pages_are_searched_once(spark):
+    """400 terms that differ in case alone stand at two places, not at 800; each of them and each page row is told."""
+    html = "<p>one word, a Word</p>"
+    pages = spark.createDataFrame([(1, html), (1, html), (2, "none"), (None, html)], "page_id int, html string")
+    asked = spark.createDataFrame([(i, "Word" if i % 2 else "wORD", 3, "tags") for i in range(400)], TERMS)
+    texts = pages.select("page_id", search.visible_text(F.col("html")).alias("text"))
+    places = search.term_places(texts, asked.withColumn("lterm", F.lower("term")), ["page_id"], True)
+    assert sorted((r["copies"], r["start"]) for r in places.collect()) == [(2, 4), (2, 12)]
+    found = search.find_matches(texts, asked, ["page_id"]).collect()
+    assert sorted((r["term_id"], r["match_index"], r["total_matches"], r["start"]) for r in found) == sorted(
+        [(i, n, 2, at) for i in range(400) for n, at in ((1, 4), (2, 12))] * 2)
+    assert sorted(search.match_counts(texts, asked, ["page_id"]).collect()) == sorted([(1, i, 2) for i in range(400)] * 2)
+    windows = search.match_context(search.find_matches(texts, asked, ["page_id"]), pages, ["page_id"])
+    assert windows.groupBy("raw_start", "raw_end").count().orderBy("raw_start").collect() == [(7, 11, 800), (15, 19, 800)]
+    rows = search.search_snippets(pages, asked, modes=("tags",))
+    assert rows.groupBy("match_index", "snippet").count().orderBy("match_index").collect() == [
+        (1, "ne word, a", 800), (2, " a Word", 800)]
+
+
 def brute_bucket(log, most, window):
     state, out = {}, {}
     for key, ms, request in sorted(log):
