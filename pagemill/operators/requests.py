@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pagemill.fixed import (
     DEFAULT_TIMEOUT_S, ACCEPT, BODY_EXTENSIONS, DEFAULT_BODY_TYPE, MAX_TIMEOUT_MS, MIN_TIMEOUT_MS, USER_AGENT)
+from pagemill.functions.text import let
 from pagemill.functions.urls import validate_url
 
 
@@ -24,16 +25,25 @@ def parse_headers(text: Column) -> Column:
     The text is parsed as the first item of an array that ends with an object named by the text's own digest:
     anything before, between or after would give another array.
     """
-    mark = F.sha2(text, 256)
-    items = F.from_json(
-        F.concat(F.lit("["), text, F.lit(',{"'), mark, F.lit('":""}]')), "array<map<string,string>>",
-        {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"})
-    whole = (F.size(items) == 2) & (F.element_at(F.map_keys(F.get(items, F.lit(1))), 1) == mark)
-    by_name = F.array_sort(F.transform(
-        F.map_entries(F.get(items, F.lit(0))),
-        lambda e, i: F.struct(e["key"].alias("key"), (-i).alias("place"), e["value"].alias("value"))))
-    last = F.filter(by_name, lambda e, i: (i == 0) | (F.get(by_name, i - 1)["key"] != e["key"]))
-    return F.when(whole, F.map_from_entries(F.transform(last, lambda e: F.struct(e["key"], e["value"]))))
+    def by_name(entries):
+        return F.array_sort(F.transform(
+            entries, lambda e, i: F.struct(e["key"].alias("key"), (-i).alias("place"), e["value"].alias("value"))))
+
+    def last(named):
+        kept = F.filter(named, lambda e, i: (i == 0) | (F.get(named, i - 1)["key"] != e["key"]))
+        return F.map_from_entries(F.transform(kept, lambda e: F.struct(e["key"], e["value"])))
+
+    def of(parsed):
+        whole = (F.size(parsed["items"]) == 2) & (F.element_at(F.map_keys(F.get(parsed["items"], F.lit(1))), 1) == parsed["mark"])
+        return F.when(whole, let(by_name(F.map_entries(F.get(parsed["items"], F.lit(0)))), last))
+
+    def parse(mark):
+        return F.struct(mark.alias("mark"), F.from_json(
+            F.concat(F.lit("["), text, F.lit(',{"'), mark, F.lit('":""}]')), "array<map<string,string>>",
+            {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}).alias("items"))
+
+    # Each step is bound once: a text is parsed once, however many names it holds.
+    return let(let(F.sha2(text, 256), parse), of)
 
 
 def timeout_ms(seconds: Column) -> Column:
