@@ -110,7 +110,11 @@ def q_resumed(spark, folder):
     if middle is None:
         return _streamed(spark, folder)
     history = T.rate_limit_replay(log.where(F.col("ms") < middle), "key", "ms", "request", MAX, WINDOW)
-    return _streamed(spark, folder, F.col("ms") >= middle, stream_throttle.bucket_states(history))
+    states = stream_throttle.bucket_states(history, middle, MAX, WINDOW)
+    # The states are worked out as a batch and written, so that the stream's trigger only reads them.
+    path = scratch_folder(spark, "states")
+    states.write.parquet(path)
+    return _streamed(spark, folder, F.col("ms") >= middle, spark.read.schema(states.schema).parquet(path))
 
 
 @query("stream_clean", f"select page_id, url, {Q.tags('html')} as text from pages")

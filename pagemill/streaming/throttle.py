@@ -73,10 +73,17 @@ class _Bucket(StatefulProcessor):
         pass
 
 
-def bucket_states(decided: DataFrame) -> DataFrame:
-    """(key, tokens, last_ms) after a batch replay (key, request, ms, tokens_left): initial state of a stream that goes on from it."""
+def bucket_states(decided: DataFrame, since=None, max_requests=RATE_MAX_REQUESTS, window_ms=RATE_WINDOW_MS) -> DataFrame:
+    """(key, tokens, last_ms) after a batch replay (key, request, ms, tokens_left): initial state of a stream that goes on from it.
+
+    With `since`, the time before which the stream has no request, buckets that are full again by then are left out: they are
+    like those of keys never seen.
+    """
     last = F.max_by(F.struct("tokens_left", "ms"), F.struct("ms", "request"))
-    return decided.groupBy("key").agg(last.alias("l")).select("key", F.col("l.tokens_left").alias("tokens"), F.col("l.ms").alias("last_ms"))
+    states = decided.groupBy("key").agg(last.alias("l")).select("key", F.col("l.tokens_left").alias("tokens"), F.col("l.ms").alias("last_ms"))
+    if since is None:
+        return states
+    return states.where(F.col("tokens") + (F.lit(since) - F.col("last_ms")) * max_requests < max_requests * window_ms)
 
 
 def rate_limit_stream(requests: DataFrame, max_requests=RATE_MAX_REQUESTS, window_ms=RATE_WINDOW_MS, lateness="1 hour",
