@@ -30,3 +30,16 @@ def test_a_reference_to_a_mark_stays_in_the_snippet(spark):
     for mode in ("tags", "html2md"):
         asked = spark.createDataFrame([(1, "needle", 8, mode)], "term_id int, term string, context_limit int, strip string")
         assert [r["snippet"] for r in search.search_snippets(pages, asked, modes=(mode,)).collect()] == ["one ﷖ needle ﷚ & ﷖ t"]
+
+
+def test_windows_of_all_modes_are_computed_in_one_pass(spark):
+    """Markdown windows and others come out of one plan: a union would look for all matches twice."""
+    pages = spark.createDataFrame([(1, "<ul><li>a <b>needle</b></li></ul>"), (2, "<p>needle &amp; <i>needle</i>")], "page_id int, html string")
+    asked = spark.createDataFrame([(i, "Needle", 4, mode) for i, mode in enumerate(("tags", "html2md", "none", "other"))],
+                                  "term_id int, term string, context_limit int, strip string")
+    found = search.search_snippets(pages, asked)
+    assert "Union" not in found._jdf.queryExecution().analyzed().toString()
+    got = {(r["page_id"], r["term_id"], r["match_index"]): r["snippet"] for r in found.collect()}
+    assert len(got) == 12
+    assert got[1, 0, 1] == "a needle" and got[1, 1, 1] == " a **needle**"[-12:] and got[2, 1, 2] == " & *needle*"
+    assert got[2, 0, 1] == "needle & n" and got[2, 2, 1].startswith("<p>needle")
