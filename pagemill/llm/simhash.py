@@ -67,7 +67,8 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     keys = F.explode(F.array(*[
         F.struct(F.lit(i).alias("choice"), F.col("simhash").bitwiseAND(F.lit(m)).alias("part"))
         for i, m in enumerate(_masks(max_bits))]))
-    keyed = prints.select("simhash").distinct().select("simhash", keys.alias("k")).select("simhash", "k.*")
+    # Spark sizes the exploded rows as if there were one per fingerprint, so neither side may be broadcast.
+    keyed = prints.select("simhash").distinct().select("simhash", keys.alias("k")).select("simhash", "k.*").hint("merge")
     left = keyed.withColumnRenamed("simhash", "a")
     right = keyed.withColumnRenamed("simhash", "b")
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
