@@ -16,6 +16,8 @@ MIN_SITES = 10
 LG_K, NEAR = 12, 0.1
 #: Occurrences of one line are dealt to so many tasks.
 PIECES = 16
+#: With more boilerplate lines than this their first places are not broadcast: Spark sizes them as if each stood in one piece.
+FEW_LINES = 4_096
 _KEY = ["h1", "h2"]
 
 
@@ -62,6 +64,8 @@ def remove_boilerplate(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     # A line that stands in a third of all documents is a few partial rows here; its first places then meet its
     # occurrences in pieces dealt by document, not in one task of the line.
     firsts = seen.groupBy(*_KEY).agg(F.min(place).alias("first")).withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1))))
+    if flagged.count() > FEW_LINES:
+        firsts = firsts.hint("merge")
     dealt = seen.withColumn("piece", F.pmod(F.xxhash64("doc_id", "version"), F.lit(PIECES)).cast("int"))
     gone = (dealt.join(firsts, [*_KEY, "piece"]).where(place != F.col("first"))
             .groupBy("doc_id", "version").agg(F.array_sort(F.collect_set("pos")).alias("gone"))

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 import struct
 from collections import Counter
 
@@ -143,6 +144,19 @@ def test_simhash_links_are_complete(spark):
     assert {(r["a"], r["b"]) for r in got} == want and len(got) == len(want)
 
 
+def joins(df):
+    """The joins that ran, with their keys."""
+    df.collect()
+    return re.findall(r"(?:BroadcastHash|SortMerge|ShuffledHash)Join \[[^]]*\]", df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0])
+
+
+def test_simhash_keys_are_not_broadcast(spark):
+    """A fingerprint has 28 keys, which Spark takes for one row, so a table that seems small would fill the driver."""
+    prints = spark.range(200).select(F.xxhash64(F.floor(F.col("id") / 2)).bitwiseXOR(F.col("id") % 2).alias("simhash"))
+    found = [j for j in joins(simhash.links(prints)) if "part" in j]
+    assert len(found) == 1 and found[0].startswith("SortMerge")
+
+
 def test_simhash_odd_rows(spark):
     rows = simhash.near_duplicates(odd(spark)).collect()
     assert len(rows) == 9
@@ -220,6 +234,15 @@ def test_boilerplate_lines(spark):
     assert lines.remove_boilerplate(odd(spark)).count() == 9 and lines.remove_boilerplate(empty(spark)).count() == 0
 
 
+def test_first_places_of_many_lines_are_not_broadcast(spark):
+    """Each line's first place is repeated for all pieces, which Spark takes for one row."""
+    docs = table(spark, [(i, "\n".join(f"line {k}" for k in range(5_000)), f"s{i}") for i in range(lines.MIN_SITES)], "doc_id long, text string, source string")
+    cleaned = lines.remove_boilerplate(docs)
+    assert sum(r["n_removed"] for r in cleaned.collect()) == 5_000 * (lines.MIN_SITES - 1)
+    found = [j for j in joins(cleaned) if "piece" in j]
+    assert len(found) == 1 and found[0].startswith("SortMerge")
+
+
 # ---- substrings ----
 
 def plain_removal(rows, size=13):
